@@ -145,7 +145,7 @@ def delimited_scan(spark, d):
     scanned = wide.read_wide_text(spark, base)
     return scanned.select(
         "meter_id", "premise_id", "timestamp", "units", "purpose", "firstintervaldatetime",
-        *[f"{side}{i}" for i in (1, 2, 7) for side in ("t", "v")], "v100",
+        *[f"t{i}" for i in (1, 2, 7)], *[numbers.number(f"v{i}").alias(f"v{i}") for i in (1, 2, 7)], "v100",
     )
 
 
