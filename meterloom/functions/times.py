@@ -17,6 +17,7 @@ from meterloom.functions.text import _col
 
 _DAY_FORM = r"^\d{4}-\d{2}-\d{2}$"
 _WALL_FORM = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
+_STATED_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 _SECONDS_FORM = "____-__-__T__:__:__"
 _TWELVE_HOUR_FORM = r"^(\d{2})(\d{2})(\d{4})(\d{2})(\d{2})(\d{2})([AaPp])[Mm]$"
 
@@ -57,9 +58,9 @@ def wall_seconds(text: Column | str) -> Column:
     return F.when(t.rlike(_WALL_FORM), wall_of(t.try_cast("timestamp_ntz")))
 
 
-def end_wall(clean: Column | str) -> Column:
-    """Wall seconds of the first 19 characters of an end time, null if they are no time."""
-    c = _col(clean)
+def end_wall(text: Column | str) -> Column:
+    """Wall seconds of ``yyyy-MM-ddTHH:mm:ss``, null for any other text."""
+    c = _col(text)
     parsed = F.unix_seconds(F.concat(c, F.lit("Z")).try_cast("timestamp"))
     return F.when(c.like(_SECONDS_FORM), parsed)
 
@@ -86,14 +87,10 @@ def stated_offset(text: Column | str) -> Column:
 
 def end_epoch(text: Column | str, zone: str = spec.DEFAULT_ZONE) -> Column:
     """Epoch seconds of an end time: by its own offset, or in ``zone`` if it has none."""
-    clean = F.substring(F.trim(_col(text)), 1, 19)
-    return epoch_of_parts(clean, stated_offset(text), zone)
-
-
-def epoch_of_parts(clean: Column | str, offset: Column | str, zone: str) -> Column:
-    c, o = _col(clean), _col(offset)
-    stated = F.when(c.like(_SECONDS_FORM), F.unix_seconds(F.concat(c, o).try_cast("timestamp")))
-    return F.when(o.isNotNull(), stated).otherwise(from_zone(end_wall(c), zone))
+    c = F.trim(_col(text))
+    return F.when(c.rlike(_STATED_FORM), F.unix_seconds(c.try_cast("timestamp"))).otherwise(
+        from_zone(end_wall(c), zone)
+    )
 
 
 def day_of(text: Column | str) -> Column:

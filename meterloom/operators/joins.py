@@ -58,5 +58,7 @@ def lookup_join(
     if fits_broadcast(lookup, max_rows, max_bytes):
         return left.join(F.broadcast(lookup), on, how)
     copies = lookup.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = add_salt(left, [*keys, *spread], salts).join(copies, [*on, F.col(SALT) == F.col("_copy")], how)
-    return joined.drop("_copy")
+    # Spark's own estimate does not see the copies and might still broadcast them; the hint
+    # rules that out.
+    salted = add_salt(left, [*keys, *spread], salts)
+    return salted.join(copies.hint("merge"), [*on, F.col(SALT) == F.col("_copy")], how).drop("_copy")

@@ -274,6 +274,8 @@ def _wide_pivot(i: int) -> str:
 _WIDE_HEAD = """'LG' || lpad(l_orderkey::VARCHAR, 9, '0') AS meter_id"""
 _FIRST = "min(l_shipdate) + INTERVAL 20 YEAR + to_hours(4 + l_orderkey % 20)"
 
+_BLOCK = """serial AS metername, 'M' || l_orderkey AS macid, 'U' || l_partkey AS utildeviceid,
+  len::VARCHAR AS intervallength, block_text AS blockstarttime"""
 _VERSION_COLUMNS = "SELECT * FROM versions_latest"
 
 ORACLES: dict[str, str] = {
@@ -294,7 +296,8 @@ ORACLES: dict[str, str] = {
         FROM feed WHERE val IS NOT NULL""",
         *_FEED,
     ),
-    "xml_corrupt_rows": "SELECT count(*) AS documents, count(*) FILTER (l_linenumber = 7) AS corrupt FROM lineitem",
+    "xml_corrupt_rows": """SELECT count(*) AS documents, count(*) FILTER (l_linenumber = 7) AS corrupt,
+        count(*) FILTER (l_linenumber = 7) AS unnamed FROM lineitem""",
     "delimited_scan": f"""
         SELECT {_WIDE_HEAD}, lpad(l_orderkey::VARCHAR, 9, '0') AS premise_id, NULL::VARCHAR AS "timestamp",
           CASE WHEN l_orderkey % 2 = 0 THEN ' KWH' ELSE 'kW' END AS units,
@@ -428,12 +431,12 @@ ORACLES: dict[str, str] = {
     ),
     "conform_schema": _sql(_target(spec.TRANSFORM_COLUMNS, "source", _FLOAT_COLUMNS), *_SOURCE, *_OWNED),
     "date_floor": _sql(
-        f"""SELECT l_orderkey, l_linenumber, block_text AS starttime FROM feed
+        f"""SELECT {_BLOCK} FROM feed, range(CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 1 END)
         WHERE block_local >= TIMESTAMP '{spec.DATE_FLOOR}'""",
         *_FEED,
     ),
     "date_floor_strict": _sql(
-        f"""SELECT l_orderkey, l_linenumber, block_text AS starttime FROM feed
+        f"""SELECT {_BLOCK} FROM feed, range(CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 1 END)
         WHERE block_local::DATE > DATE '{spec.DATE_FLOOR_STRICT}'""",
         *_FEED,
     ),

@@ -141,7 +141,9 @@ def xml_corrupt_rows(spark, d):
 @query
 def delimited_scan(spark, d):
     base = scratch_path(spark, "wide")
-    shapes.wide_rows(spark, d, spec.WIDE_PAIRS).write.csv(base, sep="~", quote='"', escape="\\", emptyValue="")
+    shapes.wide_rows(spark, d, spec.WIDE_PAIRS).write.csv(
+        base, sep="~", quote='"', escape="\\", emptyValue="", ignoreLeadingWhiteSpace=False
+    )
     scanned = wide.read_wide_text(spark, base)
     return scanned.select(
         "meter_id", "premise_id", "timestamp", "units", "purpose", "firstintervaldatetime",
@@ -388,18 +390,19 @@ def conform_schema(spark, d):
 # --- filters -----------------------------------------------------------------------------
 
 
-def _with_start_text(spark, d):
-    return shapes.feed_rows(spark, d).select("l_orderkey", "l_linenumber", F.col("block_start_text").alias("starttime"))
+def _blocks(spark, d):
+    blocks = flatten.explode_blocks(shapes.documents(spark, d))
+    return blocks.select("metername", "macid", "utildeviceid", "intervallength", "blockstarttime")
 
 
 @query
 def date_floor(spark, d):
-    return filters.date_floor(_with_start_text(spark, d), "starttime", spec.DATE_FLOOR)
+    return filters.date_floor(_blocks(spark, d), "blockstarttime", spec.DATE_FLOOR)
 
 
 @query
 def date_floor_strict(spark, d):
-    return filters.date_floor(_with_start_text(spark, d), "starttime", spec.DATE_FLOOR_STRICT, inclusive=False)
+    return filters.date_floor(_blocks(spark, d), "blockstarttime", spec.DATE_FLOOR_STRICT, inclusive=False)
 
 
 @query
