@@ -125,11 +125,8 @@ def assignment_join(
         return joined.select(*df.columns, *added)
     if pick != "latest":
         raise ValueError(f"pick is None or 'latest', not {pick!r}")
-    # The salt is a function of the keys, so it may join them: the window then uses
-    # the partitioning the join left behind and needs no shuffle of its own.
-    salted = [joins.SALT] if joins.SALT in joined.columns else []
-    rows = joined.select(*df.columns, *salted, "unix_mtr_inst_ts", *added)
-    return keep_latest(rows, [*keys, *salted], ["unix_mtr_inst_ts"]).drop("unix_mtr_inst_ts", *salted)
+    rows = joined.select(*df.columns, "unix_mtr_inst_ts", *added)
+    return keep_latest(rows, list(keys), ["unix_mtr_inst_ts"]).drop("unix_mtr_inst_ts")
 
 
 def unmatched_readings(df: DataFrame, bounded: DataFrame, uom: DataFrame, **bounds) -> DataFrame:

@@ -5,6 +5,10 @@ the stated bounds it is broadcast. Beyond them both sides are shuffled on the ke
 so a key that holds a large part of the rows is spread over ``salts`` tasks. Both ways give
 the same rows. The salt is a hash of row content, never a random number, so a task that is
 run again after a lost executor sends every row where it went before.
+
+The salt is not kept. A later window or aggregate on the key therefore gets a shuffle of its
+own, and that leaves adaptive execution free to split a partition of this join further, by its
+measured size, when one key holds so many rows that even a part of it is too large for a task.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+SALTS = 16
 SALT = "_salt"
 
 
@@ -49,8 +53,6 @@ def lookup_join(
 
     ``spread`` names left columns that differ within one key; they feed the salt.
     ``residual`` is a further condition, such as a range, checked on rows with equal keys.
-    When both sides had to be shuffled the result carries the salt column, since later steps
-    can use that partitioning.
     """
     on = [F.col(a) == F.col(b) for a, b in keys.items()]
     if residual is not None:
@@ -61,4 +63,4 @@ def lookup_join(
     # Spark's own estimate does not see the copies and might still broadcast them; the hint
     # rules that out.
     salted = add_salt(left, [*keys, *spread], salts)
-    return salted.join(copies.hint("merge"), [*on, F.col(SALT) == F.col("_copy")], how).drop("_copy")
+    return salted.join(copies.hint("merge"), [*on, F.col(SALT) == F.col("_copy")], how).drop("_copy", SALT)

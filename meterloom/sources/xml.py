@@ -48,12 +48,15 @@ def read_meter_xml(
 
     ``paths`` is a list of files, folders or globs, all read by one scan; gzip is recognised by
     suffix. A gzip file cannot be split, so it is one task: ``spread`` redistributes the parsed
-    documents over that many partitions. ``infer=True`` lets Spark derive the schema instead.
+    documents over that many partitions. ``infer=True`` lets Spark derive the structure from
+    the files; leaves stay text, so that a meter name keeps its leading zeros.
     """
     reader = spark.read.format("xml").options(**_options(mode, timezone)).option("rowTag", row_tag)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    if not infer:
+    if infer:
+        reader = reader.option("inferSchema", "false")
+    else:
         reader = reader.schema(schema or document_schema(mode))
     listed = [paths] if isinstance(paths, str) else list(paths)
     df = reader.load(listed).withColumn("filename", F.col("_metadata.file_path"))

@@ -300,7 +300,7 @@ def describe_target(spark, d):
     sinks.insert_target(_consume(spark, d), name)
     stored = tables.read_table(spark, name).agg(F.count(F.lit(1)).alias("stored")).first()["stored"]
     described = sinks.describe_target(spark, name).filter(~F.col("col_name").startswith("#"))
-    return described.select("col_name", "data_type").distinct().withColumn("stored_rows", F.lit(stored))
+    return described.select("col_name", "data_type").distinct().withColumn("stored_rows", F.lit(stored).cast("long"))
 
 
 @query

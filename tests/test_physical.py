@@ -7,6 +7,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterloom.operators import dedup, enrich, filters, hold
 from meterloom.plans import interval_feed
@@ -51,12 +52,39 @@ def test_consume_moves_the_readings_once(spark, source):
 def test_consume_with_a_large_lookup(spark, source):
     bounded = queries._bounded(spark, SF_DIR)
     text = explained(enrich.assignment_join(source, bounded, pick="latest", max_rows=0))
-    # readings and assignments on (key, salt); the window reuses that partitioning
-    assert "SortMergeJoin" in text and "_salt" in text
-    assert shuffles(text) == 3
+    # readings and assignments on (key, salt), the window on the reading key, the unit distinct
+    assert "SortMergeJoin LeftOuter" in text and "_salt" in text
+    assert shuffles(text) == 4
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_adaptive_execution_may_split_a_hot_meter(spark):
+    """The join under the window stays splittable: its partitioning is not the window's."""
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        hot = spark.range(40000).select(
+            F.lit("MTR00000005").alias("metername"), F.col("id").cast("string").alias("endtime"),
+            (F.lit(1500000000) + F.col("id")).alias("unix_endtime"), F.lit("1").alias("channel"), F.lit("a").alias("uom"),
+        )
+        bounded = queries.enrich.validity_bounds(shapes.assignments(spark, SF_DIR))
+        df = enrich.assignment_join(hot.repartition(8), bounded, pick="latest", max_rows=0, salts=2)
+        assert len(df.collect()) == 40000
+        assert "isSkew=true" in df._jdf.queryExecution().executedPlan().toString() or "skew=true" in (
+            df._jdf.queryExecution().executedPlan().toString()
+        )
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_filters_reach_the_scan(spark):
     stored = scratch_path(spark, "held")
     shapes.held_stage(spark, SF_DIR).write.partitionBy("aep_opco").parquet(stored)
