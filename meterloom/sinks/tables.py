@@ -57,17 +57,18 @@ def append_partitioned(df: DataFrame, path: str, partition: Sequence[str]) -> No
 
 
 def append_feed(feed: DataFrame, path: str) -> None:
-    append_partitioned(feed, path, ["aep_opco", "run_date"])
+    """Append one run's feed. Unit and run label are the same in all its rows, so every task
+    writes to one folder as it is and nothing needs to be gathered first."""
+    feed.write.mode("append").partitionBy("aep_opco", "run_date").parquet(path)
 
 
 def append_held(held_rows: DataFrame, path: str) -> None:
-    append_partitioned(held_rows, path, ["run_dt"])
+    """Append one run's held rows, which share their run day."""
+    held_rows.write.mode("append").partitionBy("run_dt").parquet(path)
 
 
 def save_held_table(held_rows: DataFrame, table: str) -> None:
-    held_rows.hint("rebalance", "run_dt").write.mode("append").partitionBy("run_dt").format(
-        "parquet"
-    ).saveAsTable(table)
+    held_rows.write.mode("append").partitionBy("run_dt").format("parquet").saveAsTable(table)
 
 
 def drop_partitions(spark: SparkSession, table: str) -> int:
