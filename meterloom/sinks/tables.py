@@ -93,13 +93,15 @@ def write_merge(
     matched: bool = True,
     not_matched: bool = True,
     staging: str | None = None,
+    max_listed: int = 20_000,
 ) -> dict[str, int]:
     """Merge ``source`` into a Parquet table partitioned by ``partition``; returns the counts.
 
     1. The source is written to staging once, so the later steps all see the same rows.
        With ``order`` only the latest row per key is kept; without it a key that occurs twice
        is refused.
-    2. Only target partitions that the source touches are read.
+    2. Only target partitions that the source touches are read: by a list of their values up to
+       ``max_listed`` of them, by a semi join with them beyond.
     3. The merged rows are written to staging. Nothing in the target has changed so far, and
        a failure up to here leaves it as it was.
     4. Staged rows replace exactly the touched partitions (dynamic partition overwrite).
@@ -120,7 +122,7 @@ def write_merge(
         raise ValueError("the source holds more than one row for a merge key")
 
     target = _read_target(spark, target_path, source)
-    dates = touched_dates(staged, partition)
+    dates = touched_dates(staged, partition, max_listed)
     dated = staged.filter(F.col(partition).isNotNull())
     counts = {"update": 0, "insert": 0, "keep": 0}
 

@@ -87,6 +87,14 @@ def test_write_merge(spark):
     assert set(spark.read.parquet(f"{path}/day=d2").inputFiles()) == untouched
 
 
+def test_write_merge_with_too_many_partitions_to_list(spark):
+    path = write_target(spark)
+    untouched = set(spark.read.parquet(f"{path}/day=d2").inputFiles())
+    sinks.write_merge(spark, source(spark), path, KEYS, SET, partition="day", max_listed=1)
+    assert rows(read_target(spark, path)) == MERGED
+    assert set(spark.read.parquet(f"{path}/day=d2").inputFiles()) == untouched
+
+
 def test_write_merge_again_changes_only_labels(spark):
     path, complete = write_target(spark), source(spark).dropna(subset=["k"])
     sinks.write_merge(spark, complete, path, KEYS, SET, partition="day")
