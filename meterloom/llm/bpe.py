@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import stage_bucketed
 
 #: Characters of text after which a block is closed.
-BLOCK_CHARS = 48_000_000
+BLOCK_CHARS = 32_000_000
 #: Distinct words that one encoding group should hold.
 GROUP_WORDS = 400_000
 #: A space before white space or the end: only then can a token reach over a space.
@@ -64,13 +64,13 @@ class _Splitter:
 
     def positions(self, text: str) -> np.ndarray:
         if not text:
-            return np.empty(0, np.int64)
+            return np.empty(0, np.int32)
         if _AWKWARD.search(text):
-            return np.array(self.of_words(self.find(text)), np.int64)
+            return np.array(self.of_words(self.find(text)), np.int32)
         head, *rest = text.split(" ")
         first = self.of_words(self.find(head))
         index = np.fromiter(map(self.pieces.__getitem__, rest), np.int64, len(rest))
-        return np.concatenate([np.array(first, np.int64), self.pieces.laid_out(index)])
+        return np.concatenate([np.array(first, np.int32), self.pieces.laid_out(index).astype(np.int32)])
 
 
 class _Pieces(dict):
@@ -205,19 +205,15 @@ def _lay_out(docs: pa.Table, words: pa.Table) -> pa.Table:
     start, length = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     start[numbers] = np.cumsum(lengths) - lengths
     length[numbers] = lengths
-    found = []
-    for n, blob in zip(docs.column("n").to_pylist(), docs.column("packed").to_pylist(), strict=True):
-        at = _unpacked(blob, n) if n else np.empty(0, np.int64)
+    sizes, found = [0], []
+    for n, blob in zip(docs.column("n").to_pylist(), docs.column("packed"), strict=True):
+        at = _unpacked(blob.as_py(), n) if n else np.empty(0, np.int64)
         found.append(ids[_ranges(start[at], length[at])])
-    ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int64)
-    return pa.table(
-        {
-            "doc_id": docs.column("doc_id"),
-            "ids": pa.LargeListArray.from_arrays(
-                pa.array(ends), pa.array(np.concatenate(found) if found else np.empty(0, np.int32))
-            ).cast(pa.list_(pa.int32())),
-        }
-    )
+        sizes.append(sizes[-1] + len(found[-1]))
+    flat = np.concatenate(found) if found else np.empty(0, np.int32)
+    del found
+    laid = pa.ListArray.from_arrays(pa.array(np.array(sizes, np.int32)), pa.array(flat))
+    return pa.table({"doc_id": docs.column("doc_id"), "ids": laid})
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 #: Labelled documents that training takes at most (by a hash of their id).
 SAMPLE = 20_000
 #: Hashed features, and how many of them the models keep.
-HASHED, KEPT = 1 << 20, 3000
+HASHED, KEPT = 1 << 20, 2000
 FOLDS = 5
 SEEDS = {
     "insult": ("idiot", "moron", "stupid", "clown", "loser", "fool"),
@@ -89,7 +89,7 @@ class _Rows:
         return np.concatenate([np.bincount(self.col, r[self.row], self.width), dense.T @ r, [r.sum()]])
 
 
-def _fit(x: _Rows, dense: np.ndarray, y: np.ndarray, use: np.ndarray, rounds: int = 250) -> np.ndarray:
+def _fit(x: _Rows, dense: np.ndarray, y: np.ndarray, use: np.ndarray, rounds: int = 200) -> np.ndarray:
     """Logistic regression with a small ridge, by Adam on the rows in ``use``."""
     w = np.zeros(x.width + dense.shape[1] + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -98,7 +98,7 @@ def _fit(x: _Rows, dense: np.ndarray, y: np.ndarray, use: np.ndarray, rounds: in
         p = 1 / (1 + np.exp(-np.clip(x.times(w, dense), -30, 30)))
         g = x.back((p - y) * use / n, dense) + 1e-5 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= 0.15 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        w -= 0.25 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
     return w
 
 
@@ -109,25 +109,28 @@ def _link(p: np.ndarray) -> np.ndarray:
 
 def _train(batches, kept: int, folds: int) -> Iterator[pa.RecordBatch]:
     """One row per link and feature (a feature, -1 the intercept, -2 - j earlier link j)."""
-    rows = [r for b in batches for r in b.to_pylist()]
+    held = list(batches)
+    table = pa.Table.from_batches(held) if held else None
     out: list[tuple[int, int, float]] = []
-    if rows:
-        rows.sort(key=lambda r: (r["doc_id"], r["features"]))
-        labels = np.array([r["labels"] for r in rows], float)
-        row = np.repeat(np.arange(len(rows)), [len(r["features"]) for r in rows])
-        col = np.array([f for r in rows for f in r["features"]], np.int64)
+    if table is not None and len(table):
+        table = table.sort_by("doc_id").combine_chunks()
+        features = table.column("features").combine_chunks()
+        labels = np.array(table.column("labels").to_pylist(), float)
+        n = len(table)
+        row = np.repeat(np.arange(n), np.diff(np.asarray(features.offsets)))
+        col = np.asarray(features.flatten()).astype(np.int64)
         toxic = labels[:, -1]
         with_, pos = np.bincount(col, minlength=HASHED), np.bincount(col, toxic[row], HASHED)
         expected = with_ * toxic.mean()
         gain = np.where(with_ >= 3, (pos - expected) ** 2 / (expected + 1), 0)
         chosen = np.argsort(-gain, kind="stable")[:kept]
-        chosen = np.sort(chosen[gain[chosen] > 4])
+        chosen = np.sort(chosen[gain[chosen] > 6])
         place = np.full(HASHED, -1)
         place[chosen] = np.arange(len(chosen))
         inside = place[col] >= 0
-        x = _Rows(row[inside], place[col[inside]], len(rows), len(chosen))
-        fold = np.array([xxhash.xxh32_intdigest(str(r["doc_id"])) % folds for r in rows])
-        dense = np.empty((len(rows), 0))
+        x = _Rows(row[inside], place[col[inside]], n, len(chosen))
+        fold = np.array([xxhash.xxh32_intdigest(str(i)) % folds for i in table.column("doc_id").to_pylist()])
+        dense = np.empty((n, 0))
         for k in range(labels.shape[1]):
             y = labels[:, k]
             if 0 < y.sum() < len(y):
