@@ -15,14 +15,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import math
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import stage_bucketed
 
 #: Characters of text after which a block is closed.
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 16_000_000
 #: Distinct words that one encoding group should hold.
 GROUP_WORDS = 400_000
 #: A space before white space or the end: only then can a token reach over a space.
@@ -44,7 +47,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Splitter:
-    """Pre-tokens of texts as positions in ``words``, the block's distinct pre-tokens.
+    """Pre-tokens of a block's texts as positions in ``words``, its distinct pre-tokens.
 
     A single space between two other characters always starts a token, so texts are cut there
     and every distinct piece is matched against the pattern once. Texts with a space next to
@@ -62,43 +65,35 @@ class _Splitter:
         known = self.words
         return [known.setdefault(w, len(known)) for w in words]
 
-    def positions(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.int32)
-        if _AWKWARD.search(text):
-            return np.array(self.of_words(self.find(text)), np.int32)
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray | None]:
+        """Positions of the text's beginning, numbers of the pieces after it."""
+        if not text or _AWKWARD.search(text):
+            return np.array(self.of_words(self.find(text)), np.int32), None
         head, *rest = text.split(" ")
-        first = self.of_words(self.find(head))
-        index = np.fromiter(map(self.pieces.__getitem__, rest), np.int64, len(rest))
-        return np.concatenate([np.array(first, np.int32), self.pieces.laid_out(index).astype(np.int32)])
+        return np.array(self.of_words(self.find(head)), np.int32), np.fromiter(
+            map(self.pieces.__getitem__, rest), np.int32, len(rest)
+        )
+
+    def positions(self, docs: list[tuple[np.ndarray, np.ndarray | None]]) -> Iterator[np.ndarray]:
+        ends, flat = np.array(self.pieces.ends, np.int64), np.array(self.pieces.flat, np.int32)
+        for head, index in docs:
+            if index is None:
+                yield head
+            else:
+                yield np.concatenate([head, flat[_ranges(ends[index], ends[index + 1] - ends[index])]])
 
 
 class _Pieces(dict):
-    """Index of a piece (text after a space); ``flat`` has the positions of all pieces in turn."""
+    """Number of a piece (text after a space); ``flat`` has the positions of all pieces in turn."""
 
     def __init__(self, owner: _Splitter):
-        self.owner, self.flat, self.ends = owner, [], [0]
-        self.arrays = None
+        self.owner, self.flat, self.ends = owner, array("i"), array("q", [0])
 
     def __missing__(self, piece: str) -> int:
         self.flat.extend(self.owner.of_words(self.owner.find(" " + piece)))
         self.ends.append(len(self.flat))
-        index = self[piece] = len(self.ends) - 2
-        self.arrays = None
-        return index
-
-    def laid_out(self, index: np.ndarray) -> np.ndarray:
-        if len(index) == 0:
-            return np.empty(0, np.int64)
-        # New pieces append to the lists; small texts read them directly, so that the arrays
-        # are not rebuilt for every document.
-        if self.arrays is None and len(index) * 8 < len(self.ends):
-            ends, flat = self.ends, self.flat
-            return np.array([p for i in index.tolist() for p in flat[ends[i] : ends[i + 1]]], np.int64)
-        if self.arrays is None:
-            self.arrays = np.array(self.ends, np.int64), np.array(self.flat, np.int64)
-        ends, flat = self.arrays
-        return flat[_ranges(ends[index], ends[index + 1] - ends[index])]
+        number = self[piece] = len(self.ends) - 2
+        return number
 
 
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -109,111 +104,120 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(stops[-1]) + np.repeat(starts - (stops - lengths), lengths)
 
 
-def _packed(positions: np.ndarray, order: np.ndarray) -> bytes:
-    """Positions, renumbered by frequency: a byte each for the most frequent, else four more."""
-    ranks = order[positions]
-    low = np.minimum(ranks, 255).astype(np.uint8)
-    high = ranks[ranks >= 255].astype(np.uint32)
-    planes = high.view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zstandard.compress(low.tobytes() + planes, 3)
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 as compressed bytes: one each below 255, else four more, plane by plane."""
+    low = np.minimum(numbers, 255).astype(np.uint8)
+    high = numbers[numbers >= 255].astype(np.uint32)
+    return zstandard.compress(low.tobytes() + high.view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
 
 
-def _unpacked(blob: bytes, n: int) -> np.ndarray:
+def _unpack(blob: bytes, n: int) -> np.ndarray:
     raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
     out = raw[:n].astype(np.int64)
-    planes = raw[n:].reshape(4, -1).T.copy()
-    out[out == 255] = planes.view(np.uint32).ravel()
+    out[out == 255] = raw[n:].reshape(4, -1).T.copy().view(np.uint32).ravel()
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (id, number of pre-tokens, packed positions) and of words (part, the
-    block's words of that part, their numbers)."""
-    import xxhash
+def _pack_lists(lists: list[bytes]) -> bytes:
+    """Byte strings as their packed lengths and their contents."""
+    lengths = _pack(np.array([len(x) for x in lists], np.int64))
+    return len(lengths).to_bytes(4, "little") + lengths + zstandard.compress(b"".join(lists), 6)
+
 
+def _unpack_lists(blob: bytes, n: int) -> tuple[np.ndarray, bytes]:
+    cut = 4 + int.from_bytes(blob[:4], "little")
+    return _unpack(blob[4:cut], n), zstandard.decompress(blob[cut:])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, parts: int) -> Iterator[pa.RecordBatch]:
+    """For each block, rows of three kinds: a document (id, number of pre-tokens, packed
+    positions); the distinct words of a part, in order; how positions count the words of all
+    parts (part -1: most frequent first, so that most positions are small)."""
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         start = 0
         while start < len(ids):
-            split, docs, size, stop = _Splitter(pattern), [], 0, start
+            split, read, size, stop = _Splitter(pattern), [], 0, start
             while stop < len(ids) and size < BLOCK_CHARS:
                 text = texts[stop].as_py() or ""
-                docs.append(split.positions(text))
+                read.append(split.read(text))
                 size += len(text)
                 stop += 1
-            words = list(split.words)
+            words = [w.encode() for w in split.words]
+            docs = list(split.positions(read))
+            del split, read
             times = np.zeros(len(words), np.int64)
             for d in docs:
                 times += np.bincount(d, minlength=len(words))
-            ranked = np.argsort(-times, kind="stable")
-            order = np.empty(len(words), np.int64)
-            order[ranked] = np.arange(len(words))
-            part = np.fromiter((xxhash.xxh32_intdigest(w.encode()) % parts for w in words), np.int64, len(words))
+            position = np.empty(len(words), np.int64)
+            position[np.argsort(-times, kind="stable")] = np.arange(len(words))
+            part = [xxhash.xxh32_intdigest(w) % parts for w in words]
+            order = sorted(range(len(words)), key=lambda i: (part[i], words[i]))
+            groups = [(p, [words[i] for i in g]) for p, g in itertools.groupby(order, key=part.__getitem__)]
             block = uuid.uuid4().int >> 65
-            by_part = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[by_part])) + 1
-            groups = [g for g in np.split(by_part, cuts) if len(g)]
-            k, m = stop - start, len(groups)
+            rows = [(block, i, len(d), _pack(position[d]), None) for i, d in zip(ids[start:stop].to_pylist(), docs, strict=True)]
+            rows.append((block, None, len(words), _pack(position[order]), -1))
+            rows += [(block, None, len(g), _pack_lists(g), p) for p, g in groups]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(k + m, block, np.int64)),
-                    pa.concat_arrays([ids.slice(start, k).cast(pa.int64()), pa.nulls(m, pa.int64())]),
-                    pa.array([len(d) for d in docs] + [None] * m, pa.int32()),
-                    pa.array([_packed(d, order) for d in docs] + [None] * m, pa.binary()),
-                    pa.array([None] * k + [int(part[g[0]]) for g in groups], pa.int32()),
-                    pa.array([None] * k + [[words[i] for i in g] for g in groups], pa.list_(pa.string())),
-                    pa.array([None] * k + [order[g] for g in groups], pa.list_(pa.int32())),
-                ],
-                names=["block", "doc_id", "n", "packed", "part", "words", "numbers"],
+                [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
+                names=["block", "doc_id", "n", "packed", "part"],
             )
             start = stop
 
 
-_BLOCKS = "block long, doc_id long, n int, packed binary, part int, words array<string>, numbers array<int>"
+_BLOCKS = "block long, doc_id long, n int, packed binary, part int"
 
 
 def _encode_part(table: pa.Table, pattern: str, ranks) -> pa.Table:
     """The words of one part, from all blocks: each distinct one is encoded once."""
     encoding = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
-    words = table.column("words").combine_chunks()
-    flat = words.flatten()
-    coded = flat.dictionary_encode()
-    ids = [np.array(encoding.encode_ordinary(w), np.int32) for w in coded.dictionary.to_pylist()]
-    lengths = np.array([len(x) for x in ids], np.int64)
-    starts = np.cumsum(lengths) - lengths
-    every = np.concatenate(ids) if ids else np.empty(0, np.int32)
-    at = coded.indices.to_numpy()
-    offsets = np.asarray(words.offsets) - int(words.offsets[0].as_py())
-    word_ends = np.r_[0, np.cumsum(lengths[at])]
+    known: dict[bytes, bytes] = {}
+    out = []
+    for n, blob in zip(table.column("n").to_pylist(), table.column("packed"), strict=True):
+        lengths, content = _unpack_lists(blob.as_py(), n)
+        ids, at = [], 0
+        for size in lengths.tolist():
+            word = content[at : at + size]
+            at += size
+            got = known.get(word)
+            if got is None:
+                got = known[word] = np.array(encoding.encode_ordinary(word.decode()), np.int32).tobytes()
+            ids.append(got)
+        out.append(_pack_lists(ids))
     return pa.table(
-        {
-            "block": table.column("block"),
-            "numbers": table.column("numbers"),
-            "lengths": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(lengths[at].astype(np.int16))),
-            "ids": pa.ListArray.from_arrays(
-                pa.array(word_ends[offsets].astype(np.int32)), pa.array(every[_ranges(starts[at], lengths[at])])
-            ),
-        }
+        {"block": table.column("block"), "part": table.column("part"), "n": table.column("n"), "packed": pa.array(out, pa.binary())}
     )
 
 
 def _lay_out(docs: pa.Table, words: pa.Table) -> pa.Table:
     """Ids of each document of a block, in the order of its positions."""
-    take = lambda name, kind: np.asarray(
-        words.column(name).combine_chunks().flatten()) if len(words) else np.empty(0, kind)
-    numbers, lengths, ids = take("numbers", np.int32), take("lengths", np.int16).astype(np.int64), take("ids", np.int32)
-    start, length = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
-    start[numbers] = np.cumsum(lengths) - lengths
-    length[numbers] = lengths
-    sizes, found = [0], []
-    for n, blob in zip(docs.column("n").to_pylist(), docs.column("packed"), strict=True):
-        at = _unpacked(blob.as_py(), n) if n else np.empty(0, np.int64)
-        found.append(ids[_ranges(start[at], length[at])])
-        sizes.append(sizes[-1] + len(found[-1]))
+    words = words.sort_by("part")
+    sizes, ids = [np.empty(0, np.int64)], []
+    for n, blob in zip(words.column("n").to_pylist(), words.column("packed"), strict=True):
+        lengths, content = _unpack_lists(blob.as_py(), n)
+        sizes.append(lengths // 4)
+        ids.append(content)
+    ids, size = np.frombuffer(b"".join(ids), np.int32), np.concatenate(sizes)
+    begin = np.cumsum(size) - size
+    start, length = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+    ends, found, kept = [0], [], []
+    rows = list(zip(*[docs.column(c).to_pylist() for c in ("doc_id", "n", "part")], range(len(docs)), strict=True))
+    packed = docs.column("packed")
+    for _, n, part, i in rows:
+        if part is not None:
+            position = _unpack(packed[i].as_py(), n)
+            start[position], length[position] = begin, size
+    for doc, n, part, i in rows:
+        if part is None:
+            at = _unpack(packed[i].as_py(), n)
+            found.append(ids[_ranges(start[at], length[at])])
+            kept.append(doc)
+            ends.append(ends[-1] + len(found[-1]))
     flat = np.concatenate(found) if found else np.empty(0, np.int32)
     del found
-    laid = pa.ListArray.from_arrays(pa.array(np.array(sizes, np.int32)), pa.array(flat))
-    return pa.table({"doc_id": docs.column("doc_id"), "ids": laid})
+    laid = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(flat))
+    return pa.table({"doc_id": pa.array(kept, pa.int64()), "ids": laid})
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,13 +235,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     blocks = stage_bucketed(source.mapInArrow(lambda b: _blocks(b, pattern, parts), _BLOCKS), "bpe_blocks", "block")
     shared = spark.sparkContext.broadcast(ranks)
 
-    words = blocks.filter("part is not null").select("block", "part", "words", "numbers")
-    coded = words.groupBy("part").applyInArrow(
-        lambda table: _encode_part(table, pattern, shared),
-        "block long, numbers array<int>, lengths array<short>, ids array<int>",
+    coded = (
+        blocks.filter("part >= 0")
+        .select("block", "part", "n", "packed")
+        .groupBy("part")
+        .applyInArrow(lambda table: _encode_part(table, pattern, shared), "block long, part int, n int, packed binary")
     )
-    texts = blocks.filter("packed is not null").select("block", "doc_id", "n", "packed")
-    return texts.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_lay_out, "doc_id long, ids array<int>")
+    placed = blocks.filter("part is null or part = -1")
+    return placed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_lay_out, "doc_id long, ids array<int>")
 
 
 def _decode(batches, table) -> Iterator[pa.RecordBatch]:
