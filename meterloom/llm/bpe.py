@@ -245,60 +245,37 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     return placed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_lay_out, "doc_id long, ids array<int>")
 
 
-def _decode(batches, table) -> Iterator[pa.RecordBatch]:
-    flat, starts, lengths = table.value
+def _decode(batches, shared, digest: bool) -> Iterator[pa.RecordBatch]:
+    tokens = shared.value
+    names = [str(i) for i in range(len(tokens))] if digest else []
+    sha = lambda data: hashlib.sha256(data).hexdigest()
     for batch in batches:
         lists = batch.column(1)
-        ids = np.asarray(lists.flatten()).astype(np.int64)
-        ends = np.asarray(lists.offsets).astype(np.int64)
-        ends = ends - ends[0]
-        size = np.r_[0, np.cumsum(lengths[ids])]
-        data = flat[_ranges(starts[ids], lengths[ids])].tobytes()
-        cuts = size[ends]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                lists,
-                pa.array([data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-            ],
-            names=["doc_id", "ids", "decoded"],
-        )
-
-
-def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """Adds ``decoded``: the bytes of ``ids``, by a join with the token-byte table."""
-    size = max(ranks.values(), default=-1) + 1
-    tokens = [b""] * size
+        ends = np.asarray(lists.offsets)
+        flat = np.asarray(lists.values)
+        rows, numbers = [], []
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            ids = flat[a:b].tolist()
+            decoded = b"".join(map(tokens.__getitem__, ids))
+            rows.append(sha(decoded) if digest else decoded)
+            if digest:
+                numbers.append(sha(",".join(map(names.__getitem__, ids)).encode()))
+        if digest:
+            columns = [batch.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(numbers, pa.string()), pa.array(rows, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        else:
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(rows, pa.binary())], names=["doc_id", "ids", "decoded"])
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int], digest: bool = False) -> DataFrame:
+    """``encoded`` with ``decoded``: the bytes of ``ids``, by a join with the token-byte table.
+
+    With ``digest``, instead: ``doc_id``, ``n_tokens``, hex digests of the ids (decimal, joined
+    by commas) and of the decoded bytes, taken in the same pass.
+    """
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
-        tokens[rank] = token
-    lengths = np.array([len(t) for t in tokens], np.int64)
-    table = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+        table[rank] = token
     shared = encoded.sparkSession.sparkContext.broadcast(table)
-    return encoded.mapInArrow(lambda b: _decode(b, shared), "doc_id long, ids array<int>, decoded binary")
-
-
-def _digests(batches) -> Iterator[pa.RecordBatch]:
-    text: list[str] = []
-    for batch in batches:
-        rows = []
-        for ids in batch.column(1):
-            values = ids.values.to_numpy()
-            if len(values) and (top := int(values.max())) >= len(text):
-                text = [str(i) for i in range(max(top + 1, 2 * len(text)))]
-            rows.append(hashlib.sha256(",".join(map(text.__getitem__, values.tolist())).encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array([len(x.values) for x in batch.column(1)], pa.int64()),
-                pa.array(rows),
-                pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(2)]),
-            ],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
-
-
-def digests(decoded: DataFrame) -> DataFrame:
-    """Number of tokens and hex digests of the ids (decimal, joined by commas) and the bytes."""
-    return decoded.mapInArrow(
-        _digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded binary"
+    return encoded.select("doc_id", "ids").mapInArrow(lambda b: _decode(b, shared, digest), f"doc_id long, {schema}")
