@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from meterloom.functions.times import end_epoch
+
 
 def _order(df: DataFrame, keys: Sequence[str], order: Sequence[str], tie_break: Sequence[str] | None) -> list[str]:
     """The order columns followed by what breaks ties: by default every other column."""
@@ -31,6 +33,13 @@ def keep_latest(
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
+def keep_latest_collected(df: DataFrame, keys: Sequence[str], column: str = "int_gatewaycollectedtime") -> DataFrame:
+    """One row per key: the one collected last, by the instant its text names. Texts with
+    different offsets are compared as times; equal instants by the text, then as above."""
+    instant = df.withColumn("_instant", end_epoch(column))
+    return keep_latest(instant, keys, ["_instant", column]).drop("_instant")
+
+
 def keep_latest_agg(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], tie_break: Sequence[str] | None = None
 ) -> DataFrame:

@@ -48,6 +48,8 @@ def batch_window(df: DataFrame, ts_col: str, start=None, end=None, control: Data
         if control is None:
             raise ValueError("give a start or a control table")
         start = control.agg(F.max("last_processed").alias("m")).first()["m"]
+        if start is None:
+            raise ValueError("the control table holds no last processed time")
     kind = df.schema[ts_col].dataType
     kept = df.filter(F.col(ts_col) >= F.lit(start).cast(kind))
     return kept if end is None else kept.filter(F.col(ts_col) < F.lit(end).cast(kind))

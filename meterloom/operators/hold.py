@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterloom import spec
 from meterloom.functions.times import run_stamp_day_name
-from meterloom.operators.dedup import keep_latest
+from meterloom.operators.dedup import keep_latest, keep_latest_collected
 
 LABEL = "hold_label"
 
@@ -72,10 +72,12 @@ def hold_release(
     stage: DataFrame,
     held_rows: DataFrame,
     keys: Sequence[str] = tuple(spec.READING_KEYS),
-    order: Sequence[str] = ("int_gatewaycollectedtime",),
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The stage plus the latest version of each held reading, matched by column name."""
-    released = keep_latest(held_rows.drop("run_dt"), keys, order)
+    """The stage plus the latest version of each held reading, matched by column name. The
+    latest is the one collected last, unless other ``order`` columns are given."""
+    rows = held_rows.drop("run_dt")
+    released = keep_latest_collected(rows, keys) if order is None else keep_latest(rows, keys, order)
     return stage.unionByName(released)
 
 

@@ -46,7 +46,7 @@ def consume_view(
     reduced first. The join then moves each key once, no group of copies reaches it, and only
     overlapping assignments are left to choose from.
     """
-    latest = dedup.keep_latest(source, _KEYS, [_COLLECTED])
+    latest = dedup.keep_latest_collected(source, _KEYS, _COLLECTED)
     return conform.consume(stage_view(latest, bounded, opco, now, pick="latest", **bounds))
 
 

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterloom import spec
 from meterloom.operators import merge as m
-from meterloom.operators.audit import touched_dates, touched_dates_frame
+from meterloom.operators.audit import touched_dates_frame, touched_dates_range
 from meterloom.operators.dedup import keep_latest
 from meterloom.session import scratch_path
 
@@ -43,10 +44,9 @@ def insert_target(df: DataFrame, name: str) -> None:
     df.select(*columns).hint("rebalance", spec.TARGET_PARTITION).write.insertInto(name)
 
 
-def overwrite_staging(df: DataFrame, path: str, max_partitions: int | None = None) -> DataFrame:
+def overwrite_staging(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and read it back, so that what follows starts from files."""
-    staged = df if max_partitions is None else df.coalesce(max_partitions)
-    staged.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -93,15 +93,16 @@ def write_merge(
     matched: bool = True,
     not_matched: bool = True,
     staging: str | None = None,
-    max_listed: int = 20_000,
 ) -> dict[str, int]:
     """Merge ``source`` into a Parquet table partitioned by ``partition``; returns the counts.
 
     1. The source is written to staging once, so the later steps all see the same rows.
        With ``order`` only the latest row per key is kept; without it a key that occurs twice
        is refused.
-    2. Only target partitions that the source touches are read: by a list of their values up to
-       ``max_listed`` of them, by a semi join with them beyond.
+    2. Only target partitions that the source touches are read: the first and the last value
+       bound the scan of the target, a semi join with the distinct values does the rest.
+       The target keeps its layout: its columns and types stay, columns that only it has keep
+       their values (null in inserted rows), and a source column it lacks is refused.
     3. The merged rows are written to staging. Nothing in the target has changed so far, and
        a failure up to here leaves it as it was.
     4. Staged rows replace exactly the touched partitions (dynamic partition overwrite).
@@ -121,18 +122,19 @@ def write_merge(
     if order is None and not m.duplicate_keys(staged, keys).isEmpty():
         raise ValueError("the source holds more than one row for a merge key")
 
-    target = _read_target(spark, target_path, source)
-    dates = touched_dates(staged, partition, max_listed)
+    target = _read_target(spark, target_path, source, partition)
+    unknown = [c for c in source.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the target has no column {', '.join(unknown)}")
+    touched_range = touched_dates_range(staged, partition).first()
     dated = staged.filter(F.col(partition).isNotNull())
     counts = {"update": 0, "insert": 0, "keep": 0}
 
-    if dates is None or dates:
-        if dates is None:
-            touched = target.join(touched_dates_frame(staged, partition), partition, "left_semi")
-        else:
-            touched = target.filter(F.col(partition).isin(dates))
+    if touched_range["dates"]:
+        within = F.col(partition).between(touched_range["first_date"], touched_range["last_date"])
+        touched = target.filter(within).join(touched_dates_frame(staged, partition), partition, "left_semi")
         merged = m.merge_upsert(
-            touched.select(*source.columns), dated, keys, update_cols, labels, label_col,
+            touched.select(*target.columns), dated, keys, update_cols, labels, label_col,
             matched, not_matched, keep_op=True,
         )
         # Rebalancing splits a day that holds most of the rows and joins small ones.
@@ -147,19 +149,26 @@ def write_merge(
         if n:
             if label_col in undated.columns:
                 undated = undated.withColumn(label_col, F.lit(labels[1]))
+            undated = m.in_layout(undated, target)
             undated.write.mode("append").partitionBy(partition).parquet(target_path)
             counts["insert"] += n
     return counts
 
 
-def _read_target(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The target in the source's layout; a target that was never written is empty."""
+def _read_target(spark: SparkSession, path: str, like: DataFrame, partition: str) -> DataFrame:
+    """The target in its own layout; a target that was never written is empty, in the source's.
+
+    A partition column gets its type from the folder names, so the source's type is kept for it.
+    """
     try:
-        return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+        found = spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], like.schema)
+    given = {f.name: f for f in like.schema}
+    layout = StructType([given[f.name] if f.name == partition and f.name in given else f for f in found.schema])
+    return spark.read.schema(layout).parquet(path)
 
 
 def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:

@@ -22,7 +22,8 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
 def with_layout(listing: DataFrame, base: str) -> DataFrame:
     """Adds the first-level folder below ``base``, the depth and the file name."""
     marker = f"{base.strip('/')}/"
-    relative = F.substring_index(F.col("path"), marker, -1)
+    # The base is cut off where it stands first; a folder below may repeat its name.
+    relative = F.substr(F.col("path"), F.locate(marker, F.col("path")) + F.lit(len(marker)))
     return listing.withColumns(
         {
             "directory": F.substring_index(relative, "/", 1),

@@ -270,7 +270,7 @@ def merge_metrics(spark, d):
 def incremental_feed(spark, d):
     latest = interval_feed.conform.conform(
         interval_feed.stage_view(
-            dedup.keep_latest(_source(spark, d), ["metername", "endtime", "channel", "uom"], ["int_gatewaycollectedtime"]),
+            dedup.keep_latest_collected(_source(spark, d), ["metername", "endtime", "channel", "uom"]),
             _bounded(spark, d), OPCO, _now(), pick="latest",
         )
     )
@@ -315,7 +315,7 @@ def materialise_once(spark, d):
 @query
 def partition_profile(spark, d):
     path = scratch_path(spark, "staged")
-    return audit.partition_profile(sinks.overwrite_staging(shapes.versions(spark, d), path, max_partitions=1000))
+    return audit.partition_profile(sinks.overwrite_staging(shapes.versions(spark, d).hint("rebalance"), path))
 
 
 # --- reshaping ---------------------------------------------------------------------------
@@ -485,7 +485,7 @@ def keep_latest_agg(spark, d):
 
 @query
 def keep_latest_collected(spark, d):
-    return dedup.keep_latest(shapes.held_stage(spark, d), spec.READING_KEYS, ["int_gatewaycollectedtime"])
+    return dedup.keep_latest_collected(shapes.held_stage(spark, d), spec.READING_KEYS)
 
 
 # --- scalar rules ------------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import datetime as dt
 import gzip
 import os
@@ -90,6 +92,13 @@ def test_batch_window_and_read_back(spark):
     assert filters.batch_window(df, "ts", control=control).count() == 2
     assert filters.batch_window(df, "ts", "2026-01-01", "2026-01-02").count() == 1
     assert filters.read_back(df, "ts", []).count() == 0
+    with pytest.raises(ValueError, match="no last processed"):
+        filters.batch_window(df, "ts", control=control.limit(0))
+
+
+def test_layout_when_the_base_name_recurs(spark):
+    files = spark.sql("SELECT 'file:/data/b1/data/f.xml' AS path")
+    assert rows(listing.with_layout(files, "/data"), "directory", "depth", "file_name") == [("b1", 3, "f.xml")]
 
 
 def test_catalog_lookup(spark):

@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from meterloom import spec
-from meterloom.operators import audit, conform, hold, merge
+from meterloom.operators import conform, dedup, hold, merge
 from meterloom.session import scratch_path
 from meterloom.sinks import tables as sinks
 
@@ -87,12 +87,17 @@ def test_write_merge(spark):
     assert set(spark.read.parquet(f"{path}/day=d2").inputFiles()) == untouched
 
 
-def test_write_merge_with_too_many_partitions_to_list(spark):
-    path = write_target(spark)
-    untouched = set(spark.read.parquet(f"{path}/day=d2").inputFiles())
-    sinks.write_merge(spark, source(spark), path, KEYS, SET, partition="day", max_listed=1)
-    assert rows(read_target(spark, path)) == MERGED
-    assert set(spark.read.parquet(f"{path}/day=d2").inputFiles()) == untouched
+def test_write_merge_keeps_the_targets_layout(spark):
+    path = scratch_path(spark, "layout")
+    kept = spark.sql("SELECT 'd1' AS day, 'a' AS k, CAST(1 AS FLOAT) AS v, 'old' AS note, 7 AS extra UNION ALL SELECT 'd1', 'b', CAST(2 AS FLOAT), 'old', 8")
+    kept.write.partitionBy("day").parquet(path)
+    news = spark.sql("SELECT 'd1' AS day, 'a' AS k, 5.5D AS v, 'new' AS note UNION ALL SELECT 'd1', 'c', 6D, 'new'")
+    sinks.write_merge(spark, news, path, KEYS, ["v"], partition="day", label_col=None)
+    after = spark.read.parquet(path)
+    assert after.schema["v"].dataType.simpleString() == "float"
+    assert rows(after, "k", "v", "note", "extra") == [("a", 5.5, "old", 7), ("b", 2.0, "old", 8), ("c", 6.0, "new", None)]
+    with pytest.raises(ValueError, match="no column other"):
+        sinks.write_merge(spark, news.withColumn("other", F.lit(1)), path, KEYS, ["v"], partition="day", label_col=None)
 
 
 def test_write_merge_again_changes_only_labels(spark):
@@ -127,11 +132,11 @@ def test_write_merge_refuses_or_reduces_duplicates(spark):
     assert read_target(spark, path).filter("k = 'a'").first()["v"] == 6
 
 
-def test_many_dates_fall_back_to_a_join(spark):
-    days = spark.range(50).select(F.col("id").cast("string").alias("d"))
-    assert audit.touched_dates(days, "d", limit=10) is None
-    assert len(audit.touched_dates(days, "d")) == 50
-    assert audit.touched_dates(days.limit(0), "d") == []
+def test_latest_is_decided_by_instants(spark):
+    held = spark.sql(
+        "SELECT 'm' AS k, '2026-11-01T01:50:00-04:00' AS t, 'older' AS v UNION ALL SELECT 'm', '2026-11-01T01:10:00-05:00', 'newer'"
+    )
+    assert rows(dedup.keep_latest_collected(held, ["k"], "t"), "v") == [("newer",)]
 
 
 def test_target_table(spark):
