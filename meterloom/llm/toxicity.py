@@ -124,7 +124,8 @@ def _train(batches, kept: int, folds: int) -> Iterator[pa.RecordBatch]:
         expected = with_ * toxic.mean()
         gain = np.where(with_ >= 3, (pos - expected) ** 2 / (expected + 1), 0)
         chosen = np.argsort(-gain, kind="stable")[:kept]
-        chosen = np.sort(chosen[gain[chosen] > 6])
+        # The more features there are, the more of them stand out by chance.
+        chosen = np.sort(chosen[gain[chosen] > 2 * np.log(max((with_ > 0).sum(), 1))])
         place = np.full(HASHED, -1)
         place[chosen] = np.arange(len(chosen))
         inside = place[col] >= 0
