@@ -35,7 +35,9 @@ PERCENT = 75
 #: Members ordered by frequency; the rest is ordered by hash. Bounds a broadcast (2 x 8 bytes each).
 ORDERED = 200_000
 #: Words whose hash a task remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
+#: Characters of text that a task holds as sets at once.
+SLICE = 6_000_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,10 +80,23 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of bounded text, so that memory follows the text, not rows."""
+    for batch in batches:
+        start = size = 0
+        for i, text in enumerate(batch.column(1)):
+            size += len(text.as_buffer()) if text.is_valid else 0
+            if size >= SLICE:
+                yield batch.slice(start, i + 1 - start)
+                start, size = i + 1, 0
+        if start < len(batch):
+            yield batch.slice(start)
+
+
 def _profile(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """A row per document, a row per shingle that repeats within a batch, a row of sums."""
     hashes = _Hashes()
-    for batch in batches:
+    for batch in _slices(batches):
         ids, texts = batch.column(0), batch.column(1)
         n = np.zeros(len(ids), np.int64)
         classes: list[int | None] = []
@@ -132,7 +147,7 @@ def _keys(batches, width: int, percent: int, light: int, common) -> Iterator[pa.
     """Posting rows: key, class, set size, place of the key's first member in the order."""
     hashes = _Hashes()
     values, frequency = common.value
-    for batch in batches:
+    for batch in _slices(batches):
         seen: set[int] = set()
         out: list[tuple] = []
         for text in batch.column(1):
@@ -171,7 +186,7 @@ def _keys(batches, width: int, percent: int, light: int, common) -> Iterator[pa.
 
 def _sets(batches, width: int) -> Iterator[pa.RecordBatch]:
     hashes = _Hashes()
-    for batch in batches:
+    for batch in _slices(batches):
         found = [x for text in batch.column(1) if len(x := shingle_set(text.as_py(), hashes, width))]
         if found:
             ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)

@@ -31,7 +31,7 @@ SEEDS = {
 }
 THRESHOLD = 0.5
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 
 class _Features(dict):
