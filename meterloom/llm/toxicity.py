@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from meterloom.llm.common import stage
+
 #: Labelled documents that training takes at most (by a hash of their id).
 SAMPLE = 20_000
 #: Hashed features, and how many of them the models keep.
@@ -107,7 +109,44 @@ def _link(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def _train(batches, kept: int, folds: int) -> Iterator[pa.RecordBatch]:
+def _chosen(features: DataFrame, kept: int) -> np.ndarray:
+    """The at most ``kept`` features that tell toxic from clean best, sorted. Counted by Spark over
+    all training rows; only the chosen ones reach the driver."""
+    toxic = F.element_at("labels", -1)
+    share = features.agg(F.avg(toxic)).first()[0]
+    if not share:
+        return np.empty(0, np.int64)
+    counted = (
+        features.select(F.explode("features").alias("feature"), toxic.alias("toxic"))
+        .groupBy("feature")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos"))
+        .withColumn("expected", F.col("n") * F.lit(share))
+    )
+    counted = stage(
+        counted.select("feature", "n", (F.pow(F.col("pos") - F.col("expected"), 2) / (F.col("expected") + 1)).alias("gain")),
+        "toxicity-gains",
+    )
+    # The more features there are, the more of them stand out by chance.
+    bound = 2 * np.log(max(counted.count(), 1))
+    best = counted.filter(f"n >= 3 AND gain > {float(bound)!r}D").orderBy(F.desc("gain"), "feature").limit(kept)
+    return np.sort(best.select("feature").toPandas()["feature"].to_numpy(np.int64))
+
+
+def _narrow(batches, chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Training rows with the chosen features only, as places among them."""
+    for batch in batches:
+        features = batch.column(1)
+        flat = np.asarray(features.flatten())
+        inside = np.isin(flat, chosen)
+        ends = np.concatenate([[0], np.cumsum(inside)])[np.asarray(features.offsets) - features.offsets[0].as_py()]
+        places = pa.array(np.searchsorted(chosen, flat[inside]).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), places), batch.column(2)],
+            names=["doc_id", "features", "labels"],
+        )
+
+
+def _train(batches, chosen: np.ndarray, folds: int) -> Iterator[pa.RecordBatch]:
     """One row per link and feature (a feature, -1 the intercept, -2 - j earlier link j)."""
     held = list(batches)
     table = pa.Table.from_batches(held) if held else None
@@ -118,18 +157,7 @@ def _train(batches, kept: int, folds: int) -> Iterator[pa.RecordBatch]:
         labels = np.array(table.column("labels").to_pylist(), float)
         n = len(table)
         row = np.repeat(np.arange(n), np.diff(np.asarray(features.offsets)))
-        col = np.asarray(features.flatten()).astype(np.int64)
-        toxic = labels[:, -1]
-        with_, pos = np.bincount(col, minlength=HASHED), np.bincount(col, toxic[row], HASHED)
-        expected = with_ * toxic.mean()
-        gain = np.where(with_ >= 3, (pos - expected) ** 2 / (expected + 1), 0)
-        chosen = np.argsort(-gain, kind="stable")[:kept]
-        # The more features there are, the more of them stand out by chance.
-        chosen = np.sort(chosen[gain[chosen] > 2 * np.log(max((with_ > 0).sum(), 1))])
-        place = np.full(HASHED, -1)
-        place[chosen] = np.arange(len(chosen))
-        inside = place[col] >= 0
-        x = _Rows(row[inside], place[col[inside]], n, len(chosen))
+        x = _Rows(row, np.asarray(features.flatten()).astype(np.int64), n, len(chosen))
         fold = np.array([xxhash.xxh32_intdigest(str(i)) % folds for i in table.column("doc_id").to_pylist()])
         dense = np.empty((n, 0))
         for k in range(labels.shape[1]):
@@ -178,11 +206,15 @@ def train(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), "doc_id"
     )
-    features = rows.select("doc_id", "text", "toxic").mapInArrow(
-        lambda b: _training_rows(b, seeds), "doc_id long, features array<int>, labels array<int>"
+    columns = "doc_id long, features array<int>, labels array<int>"
+    features = stage(
+        rows.select("doc_id", "text", "toxic").mapInArrow(lambda b: _training_rows(b, seeds), columns), "toxicity-training"
     )
-    return features.repartition(1).mapInArrow(
-        lambda b: _train(b, kept, folds), "link int, feature int, weight double"
+    best = _chosen(features, kept)
+    return (
+        features.mapInArrow(lambda b: _narrow(b, best), columns)
+        .repartition(1)
+        .mapInArrow(lambda b: _train(b, best, folds), "link int, feature int, weight double")
     )
 
 
