@@ -245,7 +245,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     return placed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_lay_out, "doc_id long, ids array<int>")
 
 
-def _decode(batches, shared, digest: bool) -> Iterator[pa.RecordBatch]:
+def _decode(batches, shared, digest: bool, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     tokens = shared.value
     names = [str(i) for i in range(len(tokens))] if digest else []
     sha = lambda data: hashlib.sha256(data).hexdigest()
@@ -262,20 +262,23 @@ def _decode(batches, shared, digest: bool) -> Iterator[pa.RecordBatch]:
                 numbers.append(sha(",".join(map(names.__getitem__, ids)).encode()))
         if digest:
             columns = [batch.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(numbers, pa.string()), pa.array(rows, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns[2:2] = [lists] if keep_ids else []
+            named = ["doc_id", "n_tokens", *(["ids"] if keep_ids else []), "ids_sha256", "decoded_sha256"]
+            yield pa.RecordBatch.from_arrays(columns, names=named)
         else:
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(rows, pa.binary())], names=["doc_id", "ids", "decoded"])
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], digest: bool = False) -> DataFrame:
+def decode(encoded: DataFrame, ranks: dict[bytes, int], digest: bool = False, keep_ids: bool = False) -> DataFrame:
     """``encoded`` with ``decoded``: the bytes of ``ids``, by a join with the token-byte table.
 
     With ``digest``, instead: ``doc_id``, ``n_tokens``, hex digests of the ids (decimal, joined
-    by commas) and of the decoded bytes, taken in the same pass.
+    by commas) and of the decoded bytes, taken in the same pass; ``ids`` too with ``keep_ids``.
     """
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         table[rank] = token
     shared = encoded.sparkSession.sparkContext.broadcast(table)
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded binary"
-    return encoded.select("doc_id", "ids").mapInArrow(lambda b: _decode(b, shared, digest), f"doc_id long, {schema}")
+    kept = "ids array<int>, " if keep_ids else ""
+    schema = f"n_tokens long, {kept}ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded binary"
+    return encoded.select("doc_id", "ids").mapInArrow(lambda b: _decode(b, shared, digest, keep_ids), f"doc_id long, {schema}")
