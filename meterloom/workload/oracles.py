@@ -113,7 +113,7 @@ CTES = {
     "src": """
         SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice * 1.1::DOUBLE AS value,
           lower(l_returnflag) AS flag FROM merge_rows
-        WHERE ts >= TIMESTAMP '1998-07-01' AND ts < TIMESTAMP '1999-07-01'
+        WHERE ts >= TIMESTAMP '1998-07-01'
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_shipdate
           ORDER BY l_partkey DESC, l_suppkey DESC, value DESC, flag DESC) = 1""",
     "held_stage": f"""
@@ -304,11 +304,11 @@ ORACLES: dict[str, str] = {
           ['1', '2', '100', '999'][(l_orderkey % 4) + 1] AS purpose,
           CASE WHEN l_orderkey % 2 = 0 THEN strftime({_FIRST}, '%m%d%Y%I%M%S%p')
             ELSE strftime({_FIRST}, '%Y-%m-%d %H:%M:%S') END AS firstintervaldatetime,
-          {", ".join(f"CASE WHEN {_wide_pivot(i)} IS NOT NULL THEN 'q{i}' END AS t{i}, {_wide_pivot(i)} AS v{i}" for i in (1, 2, 7))},
-          NULL::VARCHAR AS v100
+          {", ".join(f"CASE WHEN {_wide_pivot(i)} IS NOT NULL THEN 'q{i}' END AS t{i}, {_wide_pivot(i)} AS v{i}" for i in range(1, shapes.N_PAIRS + 1))},
+          {", ".join(f"NULL::VARCHAR AS t{i}, NULL::DOUBLE AS v{i}" for i in range(shapes.N_PAIRS + 1, spec.WIDE_PAIRS + 1))}
         FROM lineitem GROUP BY l_orderkey""",
     "union_all": "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem",
-    "table_scan": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 45",
+    "table_scan": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
     "uom_lookup": _sql(
         f"""SELECT u.* EXCLUDE (aep_channel_id), u.aep_channel_id AS channel, n.readings
         FROM uom u LEFT JOIN (SELECT {_CHANNEL} AS channel, count(*) AS readings FROM lineitem GROUP BY 1) n
@@ -390,7 +390,7 @@ ORACLES: dict[str, str] = {
     "wide_values_array": f"""
         SELECT {_WIDE_HEAD}, CASE WHEN l_orderkey % 3 = 0 THEN '900' ELSE '1800' END AS intervallength,
           CASE WHEN l_orderkey % 3 = 0 THEN 900 ELSE 1800 END AS aep_sec_per_intrvl, {shapes.N_PAIRS} AS positions,
-          {", ".join(f"{_wide_pivot(i)} AS at_{i}" for i in (1, 3, 7))},
+          {", ".join(f"{_wide_pivot(i)} AS at_{i}" for i in range(1, shapes.N_PAIRS + 1))},
           ({shapes.N_PAIRS} - count(DISTINCT l_linenumber))::INTEGER AS gaps
         FROM lineitem GROUP BY l_orderkey""",
     "wide_to_long": _sql(
