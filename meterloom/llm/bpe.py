@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import stage_bucketed
+from meterloom.llm.common import bounded_batches, stage_bucketed
 
 #: Characters of text after which a block is closed.
 BLOCK_CHARS = 16_000_000
@@ -132,38 +132,42 @@ def _unpack_lists(blob: bytes, n: int) -> tuple[np.ndarray, bytes]:
 def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, parts: int) -> Iterator[pa.RecordBatch]:
     """For each block, rows of three kinds: a document (id, number of pre-tokens, packed
     positions); the distinct words of a part, in order; how positions count the words of all
-    parts (part -1: most frequent first, so that most positions are small)."""
+    parts (part -1: most frequent first, so that most positions are small). A block closes when
+    it holds ``BLOCK_CHARS`` characters or its partition ends, however the rows come in batches."""
+    split, ids, read, size = _Splitter(pattern), [], [], 0
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        start = 0
-        while start < len(ids):
-            split, read, size, stop = _Splitter(pattern), [], 0, start
-            while stop < len(ids) and size < BLOCK_CHARS:
-                text = texts[stop].as_py() or ""
-                read.append(split.read(text))
-                size += len(text)
-                stop += 1
-            words = [w.encode() for w in split.words]
-            docs = list(split.positions(read))
-            del split, read
-            times = np.zeros(len(words), np.int64)
-            for d in docs:
-                times += np.bincount(d, minlength=len(words))
-            position = np.empty(len(words), np.int64)
-            position[np.argsort(-times, kind="stable")] = np.arange(len(words))
-            part = [xxhash.xxh32_intdigest(w) % parts for w in words]
-            order = sorted(range(len(words)), key=lambda i: (part[i], words[i]))
-            groups = [(p, [words[i] for i in g]) for p, g in itertools.groupby(order, key=part.__getitem__)]
-            block = uuid.uuid4().int >> 65
-            rows = [(block, i, len(d), _pack(position[d]), None) for i, d in zip(ids[start:stop].to_pylist(), docs, strict=True)]
-            rows.append((block, None, len(words), _pack(position[order]), -1))
-            rows += [(block, None, len(g), _pack_lists(g), p) for p, g in groups]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["block", "doc_id", "n", "packed", "part"],
-            )
-            start = stop
+        for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            text = text.as_py() or ""
+            ids.append(i)
+            read.append(split.read(text))
+            size += len(text)
+            if size >= BLOCK_CHARS:
+                yield _block(split, ids, read, parts)
+                split, ids, read, size = _Splitter(pattern), [], [], 0
+    if ids:
+        yield _block(split, ids, read, parts)
+
+
+def _block(split: _Splitter, ids: list[int | None], read: list, parts: int) -> pa.RecordBatch:
+    words = [w.encode() for w in split.words]
+    docs = list(split.positions(read))
+    times = np.zeros(len(words), np.int64)
+    for d in docs:
+        times += np.bincount(d, minlength=len(words))
+    position = np.empty(len(words), np.int64)
+    position[np.argsort(-times, kind="stable")] = np.arange(len(words))
+    part = [xxhash.xxh32_intdigest(w) % parts for w in words]
+    order = sorted(range(len(words)), key=lambda i: (part[i], words[i]))
+    groups = [(p, [words[i] for i in g]) for p, g in itertools.groupby(order, key=part.__getitem__)]
+    block = uuid.uuid4().int >> 65
+    rows = [(block, i, len(d), _pack(position[d]), None) for i, d in zip(ids, docs, strict=True)]
+    rows.append((block, None, len(words), _pack(position[order]), -1))
+    rows += [(block, None, len(g), _pack_lists(g), p) for p, g in groups]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
+        names=["block", "doc_id", "n", "packed", "part"],
+    )
 
 
 _BLOCKS = "block long, doc_id long, n int, packed binary, part int"
@@ -227,6 +231,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     other columns change nothing: rows are laid out by place, not by id. No rows, no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # About a distinct word for every 64 characters, which is more than natural text brings.

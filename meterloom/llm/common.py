@@ -12,6 +12,17 @@ from meterloom.session import scratch_path
 
 #: Rows up to which a table of a few numbers a row is sent to every executor (about 32 MB).
 BROADCAST_ROWS = 1_000_000
+#: Bytes of one Arrow batch between Spark and a Python worker. Either side holds a few copies of it.
+BATCH_BYTES = 6 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch of this session exceed ``BATCH_BYTES`` (but for a longer single row), so
+    that what a task holds outside the heap does not follow the length of texts. A session's own
+    setting stays. It holds for the session, since lazy results are computed later."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":  # Spark's own value
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import broadcast_if_small, stage, stage_bucketed
+from meterloom.llm.common import bounded_batches, broadcast_if_small, stage, stage_bucketed
 from meterloom.llm.components import components
 
 WORDS = 5
@@ -224,6 +224,7 @@ def jaccard_groups(
     nothing and has no component. Repeated rows are rows of their own with the same values.
     Other columns are ignored. An empty table gives no rows. ``percent`` is above 50.
     """
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     profile = stage(
         source.mapInArrow(

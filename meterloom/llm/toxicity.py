@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from meterloom.llm.common import stage
+from meterloom.llm.common import bounded_batches, stage
 
 #: Labelled documents that training takes at most (by a hash of their id).
 SAMPLE = 20_000
@@ -253,6 +253,7 @@ def toxicity(
     any). Other columns keep their values; of the added names, those that ``docs`` already has
     are replaced. No rows, no rows.
     """
+    bounded_batches(docs.sparkSession)
     names = [*seeds, "toxic"]
     added = [f"p_{n}" for n in names]
     docs = docs.drop(*added, "is_toxic", *[f"_p{k}" for k in range(len(names))])
