@@ -83,7 +83,7 @@ def drop_partitions(spark: SparkSession, table: str) -> int:
 def write_merge(
     spark: SparkSession,
     source: DataFrame,
-    target_path: str,
+    target: str,
     keys: Sequence[str] = tuple(spec.MERGE_KEYS),
     update_cols: Sequence[str] = tuple(spec.MERGE_UPDATE_COLUMNS),
     partition: str = spec.TARGET_PARTITION,
@@ -96,6 +96,9 @@ def write_merge(
 ) -> dict[str, int]:
     """Merge ``source`` into a Parquet table partitioned by ``partition``; returns the counts.
 
+    ``target`` is a table of the catalog, by name, or a path (a name holds no slash). A named
+    table is written through the catalog, so partitions that are new are registered with it.
+
     1. The source is written to staging once, so the later steps all see the same rows.
        With ``order`` only the latest row per key is kept; without it a key that occurs twice
        is refused.
@@ -122,8 +125,8 @@ def write_merge(
     if order is None and not m.duplicate_keys(staged, keys).isEmpty():
         raise ValueError("the source holds more than one row for a merge key")
 
-    target = _read_target(spark, target_path, source, partition)
-    unknown = [c for c in source.columns if c not in target.columns]
+    before = _read_target(spark, target, source, partition)
+    unknown = [c for c in source.columns if c not in before.columns]
     if unknown:
         raise ValueError(f"the target has no column {', '.join(unknown)}")
     touched_range = touched_dates_range(staged, partition).first()
@@ -132,15 +135,15 @@ def write_merge(
 
     if touched_range["dates"]:
         within = F.col(partition).between(touched_range["first_date"], touched_range["last_date"])
-        touched = target.filter(within).join(touched_dates_frame(staged, partition), partition, "left_semi")
+        touched = before.filter(within).join(touched_dates_frame(staged, partition), partition, "left_semi")
         merged = m.merge_upsert(
-            touched.select(*target.columns), dated, keys, update_cols, labels, label_col,
+            touched.select(*before.columns), dated, keys, update_cols, labels, label_col,
             matched, not_matched, keep_op=True,
         )
         # Rebalancing splits a day that holds most of the rows and joins small ones.
         result = overwrite_staging(merged.hint("rebalance", partition), f"{base}/merged")
         counts |= {r[0]: r[1] for r in result.groupBy(m.OP).count().collect()}
-        _replace_partitions(result.drop(m.OP), target_path, partition)
+        _replace_partitions(result.drop(m.OP), target, partition)
 
     if not_matched:
         # A row without a day matches nothing and touches no listed partition: it is added.
@@ -149,17 +152,26 @@ def write_merge(
         if n:
             if label_col in undated.columns:
                 undated = undated.withColumn(label_col, F.lit(labels[1]))
-            undated = m.in_layout(undated, target)
-            undated.write.mode("append").partitionBy(partition).parquet(target_path)
+            undated = m.in_layout(undated, before)
+            if _is_table(target):
+                undated.select(*before.columns).write.insertInto(target)
+            else:
+                undated.write.mode("append").partitionBy(partition).parquet(target)
             counts["insert"] += n
     return counts
 
 
+def _is_table(target: str) -> bool:
+    return "/" not in target
+
+
 def _read_target(spark: SparkSession, path: str, like: DataFrame, partition: str) -> DataFrame:
-    """The target in its own layout; a target that was never written is empty, in the source's.
+    """The target in its own layout; a target that was never written is empty, in the source's. A table of the catalog has both.
 
     A partition column gets its type from the folder names, so the source's type is kept for it.
     """
+    if _is_table(path):
+        return spark.table(path)
     try:
         found = spark.read.parquet(path)
     except AnalysisException as error:
@@ -172,6 +184,15 @@ def _read_target(spark: SparkSession, path: str, like: DataFrame, partition: str
 
 
 def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+    if _is_table(path):
+        spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+        was = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            df.select(*spark.table(path).columns).write.insertInto(path, overwrite=True)
+        finally:
+            spark.conf.set(mode, was)
+        return
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -349,6 +349,19 @@ ORACLES: dict[str, str] = {
     "create_target": _sql(
         _target(spec.TARGET_COLUMNS, "latest", _FLOAT_COLUMNS, pick=True), *_SOURCE, "latest", *_OWNED
     ),
+    "merge_readings": _sql(
+        f"""SELECT * REPLACE (
+          CASE WHEN aep_channel_id IN ('1', '2', '3') THEN 'first' ELSE 'second' END AS toutier,
+          CASE WHEN aep_channel_id IN ('1', '2') THEN 'first' ELSE aep_city END AS aep_city,
+          CASE WHEN aep_channel_id IN ('1', '2') THEN hdp_update_user
+            WHEN aep_channel_id = '3' THEN 'info-update' ELSE 'info-insert' END AS hdp_update_user,
+          CASE WHEN aep_channel_id IN ('1', '2', '3') THEN hdp_insert_dttm - 86400 ELSE hdp_insert_dttm END
+            AS hdp_insert_dttm,
+          CASE WHEN aep_channel_id IN ('1', '2') THEN hdp_update_dttm - 86400 ELSE hdp_update_dttm END
+            AS hdp_update_dttm)
+        FROM ({_target(spec.TARGET_COLUMNS, "latest", _FLOAT_COLUMNS, pick=True)})""",
+        *_SOURCE, "latest", *_OWNED,
+    ),
     "describe_target": _sql(
         f"""SELECT c.*, (SELECT count(*) FROM latest) AS stored_rows
         FROM (VALUES {", ".join(f"('{c}', '{spec.type_of(c)}')" for c in spec.TARGET_COLUMNS)}) AS c(col_name, data_type)""",

@@ -30,6 +30,8 @@ BATCH_START, BATCH_END = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
 READY_START, READY_END = "2024-01-10 00:00:00", "2024-01-10 12:00:00"
 READ_MONTHS = ["1998-07", "1998-11", "1999-02"]
 MERGE_SET = ["value", "hdp_update_user"]
+#: Channels of the readings that the first of two runs brings, and of those that the second repeats.
+FIRST_RUN, AGAIN = ["1", "2", "3"], ["3"]
 VERSION_KEYS = ["l_orderkey", "l_linenumber"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -294,6 +296,23 @@ def create_target(spark, d):
     return observable(tables.read_table(spark, name).select(*spec.TARGET_COLUMNS))
 
 
+@query
+def merge_readings(spark, d):
+    """Two runs into the named target by its own keys and update columns: the first brings the
+    readings of some channels, the second brings one of these anew, and all other channels."""
+    name = f"meterloom_target_{uuid.uuid4().hex}"
+    sinks.create_target(spark, name, scratch_path(spark, "table"))
+    readings = sinks.overwrite_staging(_consume(spark, d), scratch_path(spark, "readings"))
+    channel, earlier = F.col("aep_channel_id"), F.timestamp_seconds(F.lit(NOW_EPOCH - 86400))
+    first = readings.filter(channel.isin(FIRST_RUN)).withColumns(
+        {"toutier": F.lit("first"), "aep_city": F.lit("first"), "hdp_insert_dttm": earlier, "hdp_update_dttm": earlier}
+    )
+    sinks.insert_target(first, name)
+    again = F.coalesce(~channel.isin(FIRST_RUN) | channel.isin(AGAIN), F.lit(True))
+    sinks.write_merge(spark, readings.filter(again).withColumn("toutier", F.lit("second")), name)
+    return observable(tables.read_table(spark, name).select(*spec.TARGET_COLUMNS))
+
+
 @query
 def describe_target(spark, d):
     name = f"meterloom_target_{uuid.uuid4().hex}"

@@ -151,6 +151,31 @@ def test_target_table(spark):
     assert rows(spark.table(name), "serialnumber", "aep_usage_dt", "value") == [("m", "2026-01-01", 1.5)]
 
 
+def test_merge_into_a_named_table_registers_new_partitions(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    sinks.create_target(spark, name, scratch_path(spark, "table"))
+
+    def readings(*found):
+        blank = {c: None for c in spec.TARGET_COLUMNS} | {"aep_meter_bucket": "01", "aep_channel_id": "1", "aep_raw_uom": "kwh"}
+        made = [
+            blank | {"serialnumber": s, "endtimeperiod": "e", "aep_usage_dt": day, "value": v, "toutier": tier}
+            for s, day, v, tier in found
+        ]
+        return conform.consume(spark.createDataFrame(made, spec.ddl(sorted(blank))))
+
+    sinks.insert_target(readings(("m", "2026-01-01", 1.5, "old"), ("n", "2026-01-01", 2.5, "old")), name)
+    run = readings(("m", "2026-01-01", 3.5, "new"), ("m", "2026-01-02", 4.5, "new"), ("m", None, 5.5, "new"))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    counts = sinks.write_merge(spark, run, name)
+    assert counts == {"update": 1, "insert": 2, "keep": 1}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    found = rows(spark.table(name), "serialnumber", "aep_usage_dt", "value", "toutier")
+    assert sorted(found, key=str) == sorted(
+        [("m", "2026-01-01", 3.5, "old"), ("n", "2026-01-01", 2.5, "old"), ("m", "2026-01-02", 4.5, "new"), ("m", None, 5.5, "new")], key=str
+    )
+    assert dict(spark.table(name).dtypes) == {c: spec.type_of(c) for c in spec.TARGET_COLUMNS}
+
+
 def stage(spark):
     day = F.date_format(F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd")
     return spark.range(200).select(
