@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -72,11 +73,18 @@ def save_held_table(held_rows: DataFrame, table: str) -> None:
 
 
 def drop_partitions(spark: SparkSession, table: str) -> int:
-    """Drop every partition of a released hold table; a listing of its partitions drives it."""
+    """Drop every partition of a released hold table, all in one statement. The catalog lists
+    them as folder names, so their values are decoded and quoted first."""
     found = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    for entry in found:
-        column, value = entry.split("=", 1)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}='{value}')")
+
+    def part(level: str) -> str:
+        column, value = map(unquote, level.split("=", 1))
+        value = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"`{column}`='{value}'"
+
+    listed = ", ".join(f"PARTITION ({', '.join(map(part, entry.split('/')))})" for entry in found)
+    if found:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
     return len(found)
 
 

@@ -368,6 +368,7 @@ ORACLES: dict[str, str] = {
         *_SOURCE,
         "latest",
     ),
+    "partition_profile": _sql("SELECT count(*) AS row_count FROM lineitem"),
     "materialise_once": _sql(
         """SELECT substr(l_shipdate, 1, 7) AS month, count(*) AS row_count FROM versions_latest GROUP BY 1
         UNION ALL SELECT 'all', count(*) FROM versions_latest""",

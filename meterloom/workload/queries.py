@@ -334,8 +334,10 @@ def materialise_once(spark, d):
 
 @query
 def partition_profile(spark, d):
+    """The profile's rows in all: how they fall into partitions depends on the files' splits."""
     path = scratch_path(spark, "staged")
-    return audit.partition_profile(sinks.overwrite_staging(shapes.versions(spark, d).hint("rebalance"), path))
+    profile = audit.partition_profile(sinks.overwrite_staging(shapes.versions(spark, d).hint("rebalance"), path))
+    return profile.agg(F.sum("row_count").alias("row_count"))
 
 
 # --- reshaping ---------------------------------------------------------------------------

@@ -176,6 +176,14 @@ def test_merge_into_a_named_table_registers_new_partitions(spark):
     assert dict(spark.table(name).dtypes) == {c: spec.type_of(c) for c in spec.TARGET_COLUMNS}
 
 
+def test_drop_partitions_of_two_levels_and_odd_values(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    made = spark.createDataFrame([(1, "it's", "a=b"), (2, "x/y", "20260101"), (3, "10:30", "c d")], "v int, p string, q string")
+    made.write.partitionBy("p", "q").format("parquet").option("path", scratch_path(spark, "held")).saveAsTable(name)
+    assert sinks.drop_partitions(spark, name) == 3
+    assert spark.table(name).count() == 0 and sinks.drop_partitions(spark, name) == 0
+
+
 def stage(spark):
     day = F.date_format(F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd")
     return spark.range(200).select(
