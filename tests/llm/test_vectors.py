@@ -64,3 +64,30 @@ def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(1, 200)] + [(1000, 1000 + k) for k in range(1, 50)] + [(5000, 5000), (None, 3)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[k] == 1 for k in range(1, 201)) and all(got[1000 + k] == 1000 for k in range(50)) and 5000 not in got
+
+
+def test_crowded_and_off_centre_labels_are_compared_whole(spark):
+    rng = np.random.default_rng(7)
+
+    def around(n: int, mean_cosine: float) -> np.ndarray:
+        noise = rng.standard_normal((n, 64)) / 8 * np.sqrt(1 / mean_cosine - 1)
+        noise[:, 0] += 1
+        return noise
+
+    crowd, off = around(3000, 0.965), around(2000, 0.7)
+    off[1000:1200] = off[:200] + 0.015 * rng.standard_normal((200, 64))  # isolated pairs
+    x = np.concatenate([crowd, off]).astype(np.float32)
+    label = np.repeat([0, 1], [3000, 2000])
+    frame = spark.createDataFrame([(k, v.tolist(), int(c)) for k, (v, c) in enumerate(zip(x, label, strict=True))], SCHEMA)
+    got = sorted(sorted_projection.near_vectors(frame).collect(), key=lambda r: r.vec_id)
+    x = x.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = (x @ x.T >= 0.98) & (label[:, None] == label)
+    np.fill_diagonal(near, False)
+    assert near[:3000].sum() > 1000 and near[3000:].sum() > 300
+    assert [r.n_links for r in got] == near.sum(1).tolist()
+    root = np.arange(len(x))
+    for a, b in np.argwhere(near):  # links are few; merge the larger root into the smaller
+        low, high = sorted((root[a], root[b]))
+        root[root == high] = low
+    assert [r.component_id for r in got] == root.tolist()
