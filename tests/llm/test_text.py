@@ -246,3 +246,20 @@ def test_chat_round_trip(spark):
 def test_templates_that_rewrite_history_are_seen():
     state = chat.Incremental(lambda turns: "|".join(t if k == len(turns) - 1 else t[:2] for k, (_, t) in enumerate(turns)))
     assert [state.add(("user", t))[2] for t in ("alpha", "beta", "c")] == [False, True, True]
+
+
+def test_templates_see_whole_prefixes(spark):
+    templates = {
+        "numbered": lambda turns: "".join(f"{k}:{t};" for k, (_, t) in enumerate(turns)),
+        "cut": lambda turns: "".join("-" if k < len(turns) - 20 else f"{t};" for k, (_, t) in enumerate(turns)),
+        "late": lambda turns: "".join(f"{t};" for _, t in turns) if len(turns) < 390 else "short",
+        "plain": chat.instruct_template,
+    }
+    for size in (30, 400):
+        turns = [("user", f"turn {k}") for k in range(size)]
+        frame = spark.createDataFrame([(1, k, *t) for k, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+        for name, template in templates.items():
+            got = chat.format_conversations(frame, template).orderBy("n").collect()
+            outs = [template(turns[:k]) for k in range(size + 1)]
+            assert [r.rewritten for r in got] == [not b.startswith(a) for a, b in zip(outs, outs[1:], strict=False)], name
+            assert all(r.piece == b[r.start :] and a[: r.start] == b[: r.start] for r, a, b in zip(got, outs, outs[1:], strict=False)), name
