@@ -35,15 +35,25 @@ _INLINE = {
     "u", "var", "wbr",
 }
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-_BAD_NAME = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|side|footer|masthead|"
-    r"site-?header|page-?header|header|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|signup|login|search|"
+#: Words of a class or id that name furniture, and words that may stand beside them in one name.
+_BAD_WORD = re.compile(
+    r"(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|sidebar|side|footer|masthead|"
+    r"siteheader|pageheader|header|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|signup|login|search|"
     r"share|sharing|social|related|recommend\w*|comments?|replies|reply|respond|disqus|widget|pagination|pager|toolbar|"
-    r"copyright|legal|disclaimer|skip)(?:$|[-_\s\d])",
-    re.I,
+    r"copyright|legal|disclaimer|skip)\d*"
+)
+_BESIDE = re.compile(
+    r"(?:site|main|global|primary|secondary|top|bottom|left|right|inner|outer|bar|box|area|block|section|list|links?|items?|"
+    r"form|container|wrapper|slot|unit|posts?|articles?|stories|title|buttons?|icons?|media|to|policy|\d*)\d*"
 )
 _BAD_ROLE = re.compile(r"\b(?:navigation|banner|contentinfo|complementary|search|form|dialog|alert|menu)\b", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
+#: What a head may hold, its end, and what ends it where its end tag is left out.
+_HEAD = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|title|object)\b.*?</\1\s*>|(?P<end></head\b[^>]*(?:>|\Z))|"
+    r"(?P<other><(?!(?:meta|link|base)\b)[a-zA-Z])",
+    re.I | re.S,
+)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 
@@ -66,6 +76,19 @@ class Block:
     heading: bool
     bad: bool
     article: bool
+    named: bool  # bad by the name of an element only
+
+
+def _bad_name(value: str) -> bool:
+    """Whether one of the names is made of furniture words alone: ``cookie-notice``, not ``with-sidebar``."""
+    for name in value.lower().split():
+        parts = re.split(r"[-_]+", name)
+        if len(parts) > 1 and parts[0] == "page":  # page-header, but search-page is a page
+            parts = parts[1:]
+        found = [_BAD_WORD.fullmatch(p) is not None for p in parts]
+        if any(found) and all(f or _BESIDE.fullmatch(p) for f, p in zip(found, parts, strict=True)):
+            return True
+    return False
 
 
 def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
@@ -76,8 +99,6 @@ def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         value = a or b or c
         low = name.lower()
-        if low in ("class", "id") and _BAD_NAME.search(value):
-            return True
         if low == "role" and _BAD_ROLE.search(value):
             return True
         if low == "hidden" or (low == "aria-hidden" and value.lower() == "true"):
@@ -87,10 +108,18 @@ def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _is_named(tag: str, attributes: str) -> bool:
+    if not attributes or tag in ("html", "body", "main", "article"):
+        return False
+    return any(name.lower() in ("class", "id") and _bad_name(a or b or c) for name, a, b, c in _ATTRIBUTE.findall(attributes))
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order; white space is one space, references are decoded."""
     out: list[Block] = []
-    open_: list[tuple[str, bool]] = []  # tag, furniture
+    open_: list[tuple[str, bool, bool]] = []  # tag, furniture, furniture by name
+    names: list[list[bool]] = []  # of the open elements named as furniture, whether they hold an article
+    inside: list[list[bool] | None] = []  # of each block, its innermost such element
     bad = articles = links = headings = 0
     parts: list[str] = []
     linked = 0
@@ -99,7 +128,8 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            out.append(Block(text, linked, headings > 0, bad > 0, articles > 0))
+            out.append(Block(text, linked, headings > 0, bad > 0, articles > 0, False))
+            inside.append(names[-1] if names else None)
         parts.clear()
         linked = 0
 
@@ -110,9 +140,11 @@ def blocks(page: str) -> list[Block]:
             if links:
                 linked += len(_SPACE.sub(" ", html.unescape(raw)).strip())
 
-    def leave(tag: str, is_bad: bool) -> None:
+    def leave(tag: str, is_bad: bool, is_named: bool) -> None:
         nonlocal bad, articles, links, headings
         bad -= is_bad
+        if is_named:
+            names.pop()
         articles -= tag in ("article", "main")
         links -= tag == "a"
         headings -= tag in _HEADINGS
@@ -141,7 +173,10 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         if tag in _SILENT:
-            if not m[3].endswith("/"):
+            if tag == "head":
+                stop = next((h for h in _HEAD.finditer(page, at) if h["end"] or h["other"]), None)
+                at = size if stop is None else stop.end() if stop["end"] else stop.start()
+            elif not m[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else size
             if tag not in _INLINE:
@@ -157,7 +192,7 @@ def blocks(page: str) -> list[Block]:
             close()
         if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th"):  # their end tags may be left out
             for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == tag and all(t in _INLINE for t, _ in open_[k + 1 :]):
+                if open_[k][0] == tag and all(t in _INLINE for t, *_ in open_[k + 1 :]):
                     for item in reversed(open_[k:]):
                         leave(*item)
                     del open_[k:]
@@ -167,12 +202,23 @@ def blocks(page: str) -> list[Block]:
         if m[3].endswith("/") and tag not in ("p", "div"):
             continue
         is_bad = _is_bad(tag, m[3], articles > 0)
-        open_.append((tag, is_bad))
+        is_named = _is_named(tag, m[3])
+        open_.append((tag, is_bad, is_named))
         bad += is_bad
+        if is_named:
+            names.append([False])
+        if tag in ("article", "main"):
+            for holds in reversed(names):
+                if holds[0]:
+                    break
+                holds[0] = True
         articles += tag in ("article", "main")
         links += tag == "a"
         headings += tag in _HEADINGS
     close()
+    # An element that holds an article is no furniture, whatever its name, nor are those around it.
+    for block, holds in zip(out, inside, strict=True):
+        block.named = holds is not None and not holds[0]
     return out
 
 
@@ -229,6 +275,18 @@ def second_pass(found: list[Block], kinds: list[str]) -> list[bool]:
 
 def main_text(page: str | None, rules: Rules) -> str:
     found = blocks(page or "")
+    named = [b for b in found if b.named and not b.bad]
+    for b in named:
+        b.bad = True
+    text = _chosen(found, rules)
+    if not text and named:  # names alone do not empty a page: the other rules decide
+        for b in named:
+            b.bad = False
+        text = _chosen(found, rules)
+    return text
+
+
+def _chosen(found: list[Block], rules: Rules) -> str:
     whole = any(b.article and not b.bad for b in found)
     kinds = [first_pass(b, whole, rules) for b in found]
     return "\n".join(b.text for b, good in zip(found, second_pass(found, kinds), strict=True) if good)

@@ -263,3 +263,16 @@ def test_templates_see_whole_prefixes(spark):
             outs = [template(turns[:k]) for k in range(size + 1)]
             assert [r.rewritten for r in got] == [not b.startswith(a) for a, b in zip(outs, outs[1:], strict=False)], name
             assert all(r.piece == b[r.start :] and a[: r.start] == b[: r.start] for r, a, b in zip(got, outs, outs[1:], strict=False)), name
+
+
+def test_names_of_a_layout_and_open_heads_keep_the_article():
+    long = "the word of it is here and that was to be in the " * 6
+    for name in ("content-sidebar-wrap", "layout with-sidebar", "page-header-fixed", "search-page", "legal-text", "sidebar"):
+        for tag in ("article", "div"):
+            page = f"<body><nav><a href=x>Menu</a></nav><div class='{name}'><{tag}><p>{long}</p></{tag}></div><div class='cookie-notice'>{long}</div></body>"
+            assert extraction.main_text(page, extraction.Rules()).split("\n")[0] == long.strip(), (name, tag)
+    page = f"<html><head><title>t</title><script>var a='<p>no</p>'</script><meta charset=x>%s<p>{long}</p>"
+    for start in ("<body>", "", "</head><body>"):
+        assert extraction.main_text(page % start, extraction.Rules()) == long.strip()
+    beside = f"<p>{long}</p><div class='cookie-notice'>{long}</div><div id=site-header><p>{long}</p></div>"
+    assert extraction.main_text(beside, extraction.Rules()) == long.strip()
