@@ -1,8 +1,8 @@
 """Personal data, and terms that give it away: information-theoretic sanitisation.
 
-Base spans are found by pattern and check. Each value found is a protected entity. The terms
-beside its mentions are counted (one count per distinct context, so copies of a text count
-once) and held against how many documents of the whole corpus have the term. A term's pointwise
+Base spans are found by pattern and check. Each value found is a protected entity. Entities,
+terms and both together are counted by documents of the whole corpus, copies included, wherever
+in the text they stand. A term's pointwise
 mutual information with the entity, as a share of the entity's own information, says how much
 of the entity it discloses: from ``GENERALISE`` on it is replaced by its kind, from ``REMOVE``
 on it is removed, wherever it stands in a document that mentions the entity.
@@ -27,9 +27,11 @@ KINDS = {
 }
 TERM = "term"
 ORDER = [*KINDS, TERM]
-#: Words of a term, characters on either side of a mention that are its context, contexts needed.
+#: Words of a term, documents needed that have term and entity.
 WORD = r"\p{L}{3,}"
-CONTEXT, SUPPORT = 60, 2
+#: Words are no terms inside an address; the other kinds have no letters.
+_WORDS = KINDS["email"][0].replace(r"\G|", "") + "|" + WORD
+SUPPORT = 2
 GENERALISE, REMOVE = 0.8, 0.95
 
 
@@ -81,7 +83,6 @@ def term_spans(
     generalise: float = GENERALISE,
     remove: float = REMOVE,
     support: int = SUPPORT,
-    context: int = CONTEXT,
 ) -> DataFrame:
     """Terms that disclose an entity of their document: as ``base_spans``, with ``action``."""
     rows = _rows(docs)
@@ -93,53 +94,44 @@ def term_spans(
     holders = broadcast_if_small(base.select("doc_id", "text_hash").distinct())
     holding = rows.join(holders, same(rows, holders), "left_semi")
     terms = stage(
-        matches(holding, "text", WORD, ("doc_id", "text_hash"))
+        matches(holding, "text", _WORDS, ("doc_id", "text_hash"))
+        .filter(~F.contains("value", F.lit("@")))
         .select("doc_id", "text_hash", "start", "end", F.lower("value").alias("term"))
         .distinct(),
         "disclosure-terms",
     )
-    # Mentions meet the words near them by strips of the text, not all words of a long one.
-    strip = 4 * context
-    near = entities.withColumn(
-        "strip", F.explode(F.sequence(F.floor((F.col("start") - context) / strip), F.floor((F.col("end") + context) / strip)))
-    ).alias("e")
-    words = terms.withColumn("strip", F.floor(F.col("start") / strip)).alias("t")
-    beside = near.join(
-        words,
-        F.col("e.doc_id").eqNullSafe(F.col("t.doc_id"))
-        & (F.col("e.text_hash") == F.col("t.text_hash"))
-        & (F.col("e.strip") == F.col("t.strip"))
-        & (
-            ((F.col("t.end") <= F.col("e.start")) & (F.col("t.start") >= F.col("e.start") - context))
-            | ((F.col("t.start") >= F.col("e.end")) & (F.col("t.end") <= F.col("e.end") + context))
-        ),
-    )
-    contexts = (
-        beside.groupBy("e.doc_id", "e.text_hash", "e.entity", "e.start")
-        .agg(F.array_sort(F.collect_set("t.term")).alias("terms"))
-        .select("entity", "terms")
-        .distinct()
+    # Equal texts are counted once, with how many documents have them.
+    total = F.lit(float(docs.count()))
+    copies = stage(
+        rows.join(broadcast_if_small(base.select("text_hash").distinct()), "text_hash", "left_semi")
+        .groupBy("text_hash")
+        .agg(F.count(F.lit(1)).alias("copies")),
+        "disclosure-copies",
     )
-    contexts = stage(contexts, "disclosure-contexts")
-    n_e = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    n_et = (
-        contexts.select("entity", F.explode("terms").alias("term"))
+    of_text = stage(entities.select("text_hash", "entity").distinct().join(broadcast_if_small(copies), "text_hash"), "disclosure-entities")
+    n_e = of_text.groupBy("entity").agg(F.sum("copies").alias("n_e")).filter(F.col("n_e") >= support)
+    words = terms.select("text_hash", "term").distinct()
+    wanted = broadcast_if_small(terms.select("term").distinct())
+    all_words = F.filter(F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0)), lambda w: ~F.contains(w, F.lit("@")))
+    present = rows.select(F.explode(F.array_distinct(F.transform(all_words, F.lower))).alias("term"))
+    n_t = stage(present.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).filter(F.col("n_t") >= support), "disclosure-counts")
+    # n_et is n_e at most, so a term in more documents than this cannot reach ``generalise``.
+    most = F.pow(F.col("n_e").cast("double"), F.lit(generalise)) * F.pow(total, F.lit(1 - generalise)) * (1 + 1e-9)
+    pairs = (
+        of_text.join(broadcast_if_small(n_e), "entity").withColumn("most", most)
+        .join(words.join(broadcast_if_small(n_t), "term"), "text_hash")
+        .filter(F.col("n_t") <= F.col("most"))
         .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_et"))
+        .agg(F.sum("copies").alias("n_et"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
         .filter(F.col("n_et") >= support)
     )
-    pairs = stage(n_et.join(n_e, "entity"), "disclosure-pairs")
-    wanted = broadcast_if_small(pairs.select("term").distinct())
-    present = rows.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    n_t = present.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    total = F.lit(float(docs.count()))
     information = F.log2(total / F.col("n_e"))
     pmi = F.log2(F.col("n_et") * total / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    telling = (
-        pairs.join(n_t, "term")
-        .withColumn("share", F.when(information > 0, pmi / information))
+    telling = stage(
+        pairs.withColumn("share", F.when(information > 0, pmi / information))
         .filter(F.col("share") >= generalise)
-        .select("entity", "term", "share")
+        .select("entity", "term", "share"),
+        "disclosure-telling",
     )
     there = entities.select("doc_id", "text_hash", "entity").distinct().join(telling, "entity")
     worst = there.groupBy("doc_id", "text_hash", "term").agg(F.max("share").alias("share"))

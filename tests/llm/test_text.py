@@ -276,3 +276,15 @@ def test_names_of_a_layout_and_open_heads_keep_the_article():
         assert extraction.main_text(page % start, extraction.Rules()) == long.strip()
     beside = f"<p>{long}</p><div class='cookie-notice'>{long}</div><div id=site-header><p>{long}</p></div>"
     assert extraction.main_text(beside, extraction.Rules()) == long.strip()
+
+
+def test_terms_of_copies_and_far_from_the_mention_are_found(spark):
+    far = "plain words here and there again " * 10
+    rows = [(k, f"plain words number{chr(97 + k % 26)} here and there") for k in range(200)]
+    rows += [(1000 + k, "visit uncle Zorblatt at joe@x.org today") for k in range(30)]
+    rows += [(2000 + k, f"Quuxley {far} mail ann@y.org") for k in range(2)]
+    rows += [(3000 + k, "visit uncle Common") for k in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.value) for r in disclosure.spans(frame).filter("kind = 'term'").collect()}
+    assert {(1000 + k, "zorblatt") for k in range(30)} <= found and {(2000, "quuxley"), (2001, "quuxley")} <= found
+    assert not {v for _, v in found} & {"uncle", "common", "plain", "words"}
