@@ -1,7 +1,7 @@
 """Secret scan: wide candidates, then a random forest that drops the false findings.
 
-A candidate is a run of at least twelve key-like characters with a digit in it. The forest
-weighs its length, its transitions between characters (by the letter pairs of the corpus'
+A candidate is the value of a named assignment, whatever its length and signs, an issuer's own
+form, or a run of at least twelve key-like characters with a digit in it. The forest weighs its length, its transitions between characters (by the letter pairs of the corpus'
 frequent words, and changes of kind), how much of it dictionary words cover, the path it was
 found under and the words beside it. It is trained on labelled findings.
 """
@@ -17,13 +17,22 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import broadcast_if_small, stage
 from meterloom.llm.spans import matches
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}+={0,2}"
+_NAME = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential)s?"
+#: What stands between a name and its value; a lookbehind needs it bounded. Its last character is looked at first.
+_ASSIGNED = rf"(?<=[=:>\s\"'`])(?<={_NAME}[\"'`\]]{{0,2}}\s{{0,3}}(?:[=:]{{1,2}}|:=|=>)\s{{0,3}}|(?i:bearer)\s{{1,3}}"
+_VALUES = [
+    *[rf"{_ASSIGNED.replace('|(?i:bearer)', q + '|(?i:bearer)')}{q})(?!<secret>)[^{q}\r\n]++(?={q})" for q in "\"'`"],
+    rf"{_ASSIGNED})(?![\"'`]|<secret>)[^\s\"'`]*[^\s\"'`,;.:)\]}}>]",
+]
+_FORMS = r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}"
+_RUN = r"(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}+={0,2}"
+CANDIDATE = rf"{'|'.join(_VALUES)}|(?<![A-Za-z0-9_+/-])(?:(?:{_FORMS})(?![A-Za-z0-9_+/-])|{_RUN})"
 #: Words of the dictionary (the most frequent ones), and labelled findings for training, at most.
 DICTIONARY, SAMPLE = 20_000, 50_000
 TREES, DEPTH, SEED = 20, 6, 11
 #: Words that name a secret when they stand before it; issuers' own forms; words of a test path.
 NAMED = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential)s?\W{0,6}$"
-ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})$"
+ISSUED = rf"^({_FORMS})$"
 TEST_PATH = r"(?i)(^|[/_.-])(tests?|examples?|fixtures?|docs?|samples?|mocks?)([/_.-]|$)"
 FEATURES = ["length", "digits", "upper", "lower", "changes", "pair_score", "covered", "test_path", "named", "quoted", "assigned", "sentence"]
 
