@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import bpe, chat, disclosure, extraction, jaccard, mixing, secret_scan, sorted_projection, toxicity, vptree
+from meterloom.llm import (
+    bpe,
+    chat,
+    disclosure,
+    extraction,
+    jaccard,
+    merkle,
+    mixing,
+    packing,
+    secret_scan,
+    sorted_projection,
+    toxicity,
+    vptree,
+    whitening,
+)
 from meterloom.llm.common import read
 
 
@@ -88,6 +102,42 @@ def op10_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(rows, rows.filter(F.col("vec_id") % 20 == 0))
 
 
+def op11_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every vector, a row each."""
+    found = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("place", "whitened")
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        "whitened",
+        F.col("explained")[F.col("place")].alias("explained"),
+        "identity_error",
+    )
+
+
+def op12_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece's place. Sequences are bounded by their tokens; documents and attention cost
+    count in the choice of a bin, with bounds that 2,048 tokens cannot exceed."""
+    packed = packing.pack(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        tokens=2048, documents=2048, attention=2048.0**2,
+    )
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def _tampered():
+    return F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace(F.col("text"), F.lit("\n"))).otherwise(F.col("text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, checked against a copy from which line ends are missing."""
+    found = merkle.manifest(read(spark, sf_dir, "documents"), changed={"text": _tampered()})
+    return found.withColumn("proof_sha256", F.sha2("proof", 256)).drop("path", "proof")
+
+
 QUERIES = {
     "op1_classifier_chain": op1_classifier_chain,
     "op2_sorted_projection": op2_sorted_projection,
@@ -99,6 +149,9 @@ QUERIES = {
     "op8_block_rules": op8_block_rules,
     "op9_incremental_chat": op9_incremental_chat,
     "op10_vantage_points": op10_vantage_points,
+    "op11_incremental_whitening": op11_incremental_whitening,
+    "op12_vector_best_fit": op12_vector_best_fit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 #: None of these can be written as one SQL statement for another engine (trained models,
 #: iteration to a fixed point, tokenizer merges, Spark's own hash); tests/llm holds them
