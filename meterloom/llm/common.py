@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.session import scratch_path
@@ -33,9 +33,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_bucketed(df: DataFrame, label: str, key: str, buckets: int | None = None) -> DataFrame:
+def stage_bucketed(df: DataFrame, label: str, key: str, buckets: int | None = None, names: list[str] | None = None) -> DataFrame:
     """As ``stage``, as a table bucketed by ``key``: later joins and windows on the key start
-    without a shuffle of it."""
+    without a shuffle of it. The table's name is added to ``names`` (see ``drop_tables``)."""
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -46,9 +46,17 @@ def stage_bucketed(df: DataFrame, label: str, key: str, buckets: int | None = No
         .sortBy(key)
         .saveAsTable(name)
     )
+    if names is not None:
+        names.append(name)
     return spark.table(name)
 
 
+def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
+    """Take written tables out of the catalog, once nothing reads them any more; files stay in the scratch folder."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows; else Spark shuffles it."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -60,10 +68,3 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def documents_like(result: DataFrame, docs: DataFrame) -> DataFrame:
     return result.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def total(columns: Sequence[Column]) -> Column:
-    out = F.lit(0)
-    for c in columns:
-        out = out + c
-    return out

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.common import stage
+from meterloom.operators.joins import lookup_join
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,8 +38,10 @@ def components(links: DataFrame) -> DataFrame:
             "node", F.col("label").alias("was"), F.least("label", "m").alias("label")
         )
         # A label is itself a node, so its own label of the round before can be looked up.
-        jumped = lower.join(
-            labels.select(F.col("node").alias("label"), F.col("label").alias("onward")), "label", "left"
-        ).select("node", F.least("label", "onward").alias("label"), "was")
+        # The label of a large component is one key, so the join is salted unless it is small.
+        onward = labels.filter("label < node").select(F.col("node").alias("root"), F.col("label").alias("onward"))
+        jumped = lookup_join(lower, onward, {"label": "root"}, ["node"]).select(
+            "node", F.least("label", "onward").alias("label"), "was"
+        )
         labels = stage(jumped.select("node", "label", (F.col("label") < F.col("was")).alias("moved")), "labels")
     return labels.select("node", "label")

@@ -5,15 +5,18 @@ members they share one of each set's first ``n - ceil(t n) + 1`` members, and tw
 ``n - ceil(t n) + 2``. Small (light) sets enumerate the two-member subsets of that longer
 prefix and meet on equal subsets; large (heavy) sets meet on the inverted lists of the single
 members of the shorter one. Sets just below the boundary do both, so that they also meet large
-ones. The boundary is the size from which the subsets outnumber the expected list entries,
-estimated from all documents. The order puts frequent members last; a frequency only affects
-cost, never the result.
-
-Large groups are joined without forming all their pairs. Each list first links its members to
-one centre, twice with different centres; connected sets are then one component, and a last
-pass takes all pairs of a list whose ends are still in different components. Every pair that
-is not in one component by then shares a list and is compared there, so no link between
-different components is lost. Every link is verified on the whole sets.
+ones. The boundary is the size from which the subsets outnumber the expected list entries; the
+mean length of a list comes from the counts, over all documents, of a fixed share of all members.
+The order puts frequent members last; a frequency only affects cost, never the result.
+
+Large groups are joined without forming all their pairs. Twice, each list compares its members
+with one centre, the member that shares most lists with others (the origin of a group of copies,
+mostly), and leaves the centre out from then on; connected sets are one component, and a list is
+left out when all its members are in one. In what remains, the members outside a list's largest
+component are compared with all others of other components. So every pair that is not in one
+component by then shares a list and is compared there, and no link between different components
+is lost. Every link is verified on the whole sets, which are written once, for the sets that
+share a list with another one.
 """
 
 from __future__ import annotations
@@ -27,13 +30,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import bounded_batches, broadcast_if_small, stage, stage_bucketed
+from meterloom.llm.common import bounded_batches, broadcast_if_small, drop_tables, stage, stage_bucketed
 from meterloom.llm.components import components
+from meterloom.operators.joins import lookup_join
 
 WORDS = 5
 PERCENT = 75
 #: Members ordered by frequency; the rest is ordered by hash. Bounds a broadcast (2 x 8 bytes each).
 ORDERED = 200_000
+#: One in so many members is counted over all documents, to know how long lists are.
+COUNTED = 64
 #: Words whose hash a task remembers before it starts anew.
 REMEMBERED = 150_000
 #: Characters of text that a task holds as sets at once.
@@ -94,7 +100,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _profile(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """A row per document, a row per shingle that repeats within a batch, a row of sums."""
+    """A row per document, and a row per shingle that repeats within a batch or is counted."""
     hashes = _Hashes()
     for batch in _slices(batches):
         ids, texts = batch.column(0), batch.column(1)
@@ -110,23 +116,21 @@ def _profile(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         values, counts = (
             np.unique(np.concatenate(list(seen.values())), return_counts=True) if seen else (np.empty(0, np.uint64),) * 2
         )
-        some = counts >= 2
+        some = (counts >= 2) | (values % np.uint64(COUNTED) == 0)
         k = int(some.sum())
-        sizes = [len(ids), k, 1]
+        sizes = [len(ids), k]
         pad = lambda values, at, kind: pa.concat_arrays(
             [pa.nulls(s, kind) if i != at else pa.array(values, kind) for i, s in enumerate(sizes)]
         )
         yield pa.RecordBatch.from_arrays(
             [
-                pa.concat_arrays([ids.cast(pa.int64()), pa.nulls(k + 1, pa.int64())]),
+                pa.concat_arrays([ids.cast(pa.int64()), pa.nulls(k, pa.int64())]),
                 pad(n, 0, pa.int64()),
                 pad(classes, 0, pa.int64()),
                 pad(_signed(values[some]), 1, pa.int64()),
                 pad(counts[some].astype(np.int64), 1, pa.int64()),
-                pad([float(counts.sum())], 2, pa.float64()),
-                pad([float((counts.astype(float) ** 2).sum())], 2, pa.float64()),
             ],
-            names=["doc_id", "n", "cls", "shingle", "df", "s1", "s2"],
+            names=["doc_id", "n", "cls", "shingle", "df"],
         )
 
 
@@ -227,10 +231,7 @@ def jaccard_groups(
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     profile = stage(
-        source.mapInArrow(
-            lambda batches: _profile(batches, width),
-            "doc_id long, n long, cls long, shingle long, df long, s1 double, s2 double",
-        ),
+        source.mapInArrow(lambda batches: _profile(batches, width), "doc_id long, n long, cls long, shingle long, df long"),
         "jaccard-profile",
     )
     rows = profile.filter("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "cls")
@@ -239,17 +240,14 @@ def jaccard_groups(
     )
 
     spark = docs.sparkSession
-    sums = profile.agg(F.sum("s1").alias("s1"), F.sum("s2").alias("s2")).first()
-    light = boundary((sums["s2"] or 0.0) / sums["s1"], percent) if sums["s1"] else 0
-    common = (
-        profile.filter("shingle is not null")
-        .groupBy("shingle")
-        .agg(F.sum("df").alias("df"))
-        .filter("df >= 8")
-        .orderBy(F.desc("df"), "shingle")
-        .limit(ordered)
-        .toPandas()
+    counts = stage(
+        profile.filter("shingle is not null").groupBy("shingle").agg(F.sum("df").alias("df")).filter(f"df >= 8 OR shingle % {COUNTED} = 0"),
+        "jaccard-counts",
     )
+    # Signed remainders are 0 where the unsigned ones are, for a power of two.
+    sums = counts.filter(f"shingle % {COUNTED} = 0").agg(F.sum("df"), F.sum(F.col("df").cast("double") ** 2)).first()
+    light = boundary(sums[1] / sums[0], percent) if sums[0] else 0
+    common = _most_frequent(counts, ordered).toPandas()
     values = common["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(values)
     shared = spark.sparkContext.broadcast((values[order], common["df"].to_numpy(np.int64)[order]))
@@ -260,6 +258,7 @@ def jaccard_groups(
     )
     per_key = Window.partitionBy("key")
     # Most members occur in one set only; their lists end here, before anything is joined.
+    made: list[str] = []
     lists = stage_bucketed(
         postings.withColumns({"lo": F.min("cls").over(per_key), "hi": F.max("cls").over(per_key)})
         .filter("lo < hi")
@@ -267,30 +266,36 @@ def jaccard_groups(
         .dropDuplicates(["key", "cls"]),
         "jaccard_lists",
         "key",
+        names=made,
     )
+    of_key = lists.groupBy("key").agg(F.count(F.lit(1)).alias("length"))
+    degrees = lists.join(of_key, "key").groupBy("cls").agg(F.sum("length").alias("degree"))
+    state = stage(degrees.withColumn("comp", F.col("cls")), "jaccard-state")
+    sets = stage_bucketed(_sets_of(state, named, classes, width), "jaccard_sets", "cls", names=made)
 
     links = None
-    tried = None
     for turn in range(3):
-        if links is None:
-            placed = lists.withColumn("comp", F.col("cls"))
-        else:
-            label = broadcast_if_small(components(links).select(F.col("node").alias("cls"), "label"))
-            placed = lists.join(label, "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
-        pairs = _list_pairs(placed, turn, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "jaccard-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        good = _verified(pairs, named, classes, width, percent)
+        if links is not None:
+            label = components(links).select(F.col("node").alias("cls"), "label")
+            state = stage(
+                state.join(label, "cls", "left").select("cls", "degree", F.coalesce("label", "comp").alias("comp")), "jaccard-state"
+            )
+        pairs, lists = _list_pairs(lists, state, turn, percent)
+        good = _verified(pairs, sets, percent)
         links = good if links is None else links.unionByName(good)
+    drop_tables(spark, made)
 
     ids = components(links).withColumnRenamed("node", "cls")
     groups = classes.join(ids, "cls", "left").select(
         "cls", "first_id", F.coalesce("label", "cls").alias("label")
     )
     firsts = groups.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_class = groups.join(firsts, "label").select("cls", "component_id")
+    # Only a label that several classes share can differ from the class's own first document.
+    shared_labels = groups.filter("label <> cls").select("label").distinct()
+    of_label = stage(firsts.join(shared_labels, "label", "left_semi"), "jaccard-components")
+    of_class = lookup_join(
+        groups, of_label.select(F.col("label").alias("_label"), "component_id"), {"label": "_label"}, ["cls"]
+    ).select("cls", F.coalesce("component_id", "first_id").alias("component_id"))
     return rows.join(of_class, "cls", "left").select(
         "doc_id",
         "n_shingles",
@@ -298,39 +303,62 @@ def jaccard_groups(
     )
 
 
-def _list_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of one list in different components: with the list's centre (turns 0 and 1), or all."""
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` of the frequent shingles: all from a frequency on, found from a histogram."""
+    step = F.floor(F.log2("df") * 8).alias("step")
+    kept, floor = 0, None
+    for row in counts.filter("df >= 8").groupBy(step).count().orderBy(F.desc("step")).collect():
+        kept += row["count"]
+        if kept > most:
+            break
+        floor = row["step"]
+    return counts.filter(F.lit(False) if floor is None else (F.col("df") >= 8) & (F.floor(F.log2("df") * 8) >= floor))
+
+
+def _sets_of(state: DataFrame, named: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """The whole sets of the classes in ``state``, one each."""
+    first = stage(state.select("cls").join(classes, "cls").select(F.col("first_id").alias("doc_id")).distinct(), "jaccard-wanted")
+    texts = named.join(broadcast_if_small(first), "doc_id", "left_semi")
+    sets = texts.select("doc_id", "text").mapInArrow(lambda b: _sets(b, width), "cls long, members array<long>")
+    # Rows that share an id bring sets of other classes, or one more than once.
+    return sets.dropDuplicates(["cls"])
+
+
+def _list_pairs(lists: DataFrame, state: DataFrame, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of one list in different components, and what remains of the lists after they are
+    compared. Turns 0 and 1 pair a list's centre with the others; the last turn pairs all that are
+    outside the list's largest component with all others."""
     key = Window.partitionBy("key")
-    open_ = placed.withColumns({"lo": F.min("comp").over(key), "hi": F.max("comp").over(key)}).filter("lo < hi")
+    known = state.withColumnRenamed("cls", "_cls")
+    placed = lists.select("key", "cls", "n", "pos").join(broadcast_if_small(known), F.col("cls") == F.col("_cls")).drop("_cls")
+    open_ = placed.withColumns({"lo": F.min("comp").over(key), "hi": F.max("comp").over(key)}).filter("lo < hi").drop("lo", "hi")
     if turn < 2:
-        choice = F.xxhash64("cls", F.lit(turn)) if turn == 0 else F.xxhash64("cls", "key")
-        centre = F.min(F.struct(choice.alias("h"), "cls", "n", "pos", "comp")).over(key)
-        found = open_.withColumn("c", centre).filter(
-            (F.col("c.comp") != F.col("comp")) & _reach(percent, "c.n", "n", "c.pos", "pos")
-        )
+        centre = F.max(F.struct("degree", "cls", "n", "pos", "comp")).over(key)
+        open_ = stage(open_.withColumn("c", centre), "jaccard-open")
+        rest = open_.filter("c.cls <> cls")
+        found = rest.filter((F.col("c.comp") != F.col("comp")) & _reach(percent, "c.n", "n", "c.pos", "pos"))
         pair = found.select(F.least("c.cls", "cls").alias("a"), F.greatest("c.cls", "cls").alias("b"))
     else:
-        own = open_.select("key", "cls", "n", "pos", "comp")
-        x, y = own.alias("x"), own.alias("y")
+        rest = stage(open_, "jaccard-open")
+        sizes = rest.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("many"))
+        largest = sizes.groupBy("key").agg(F.max(F.struct("many", "comp"))["comp"].alias("main"))
+        own = rest.join(largest, "key")
+        x, y = own.filter("comp <> main").alias("x"), own.alias("y")
         pair = x.join(
             y,
             (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.comp") < F.col("y.comp"))
+            & (F.col("x.comp") != F.col("y.comp"))
+            & ((F.col("x.comp") < F.col("y.comp")) | (F.col("y.comp") == F.col("y.main")))
             & _reach(percent, "x.n", "y.n", "x.pos", "y.pos"),
         ).select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-    return pair.distinct()
+    return stage(pair.distinct(), "jaccard-pairs"), rest
 
 
-def _verified(pairs: DataFrame, named: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the similarity."""
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    first = stage(wanted.join(classes, "cls").select(F.col("first_id").alias("doc_id")).distinct(), "jaccard-wanted")
-    texts = named.join(broadcast_if_small(first), "doc_id", "left_semi")
-    sets = texts.select("doc_id", "text").mapInArrow(lambda b: _sets(b, width), "cls long, members array<long>")
-    joined = (
-        pairs.join(sets.withColumnRenamed("cls", "a").withColumnRenamed("members", "ma"), "a")
-        .join(sets.withColumnRenamed("cls", "b").withColumnRenamed("members", "mb"), "b")
+    joined = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("ma")), "a").join(
+        sets.select(F.col("cls").alias("b"), F.col("members").alias("mb")), "b"
     )
     both = F.size(F.array_intersect("ma", "mb"))
     union = F.size("ma") + F.size("mb") - both
-    return stage(joined.filter(100 * both >= percent * union).select("a", "b").distinct(), "jaccard-links")
+    return stage(joined.filter(100 * both >= percent * union).select("a", "b"), "jaccard-links")
