@@ -2,11 +2,11 @@
 
 The template is a function from turns to text, of which nothing is known. Successive prefixes of
 a conversation are rendered; where an output starts with the one before, the rest is the new
-turn's span, and where it does not, the template has rewritten history. Whole prefixes are
-rendered up to ``WHOLE`` turns. A longer conversation is first rendered from its first and last
-``WINDOW`` turns at each step; that stands only if it rewrites nothing, equals the whole
-prefixes up to ``WHOLE`` turns and equals whole renderings of prefixes from there to the end,
-two consecutive ones at each tenth more turns. Otherwise every prefix is rendered whole.
+turn's span, and where it does not, the template has rewritten history. Prefixes are rendered
+whole, whatever their length, so the work for a conversation grows with the square of its turns.
+A caller who knows that a template adds a turn's text from the first and the last few turns alone
+says so (``depends_on``); then each step renders only those, and the joined pieces have to equal
+one rendering of the whole conversation, else its prefixes are rendered whole after all.
 
 A conversation's rows are sorted within a partition and read as a stream, the turns of one
 conversation in memory at a time: a template that may look at all of them needs them all.
@@ -25,9 +25,6 @@ from pyspark.sql import functions as F
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
-#: Turns before the new one that a windowed rendering sees, besides the conversation's first;
-#: turns up to which every prefix is rendered whole.
-WINDOW, WHOLE = 8, 256
 #: The template's control strings.
 USER, USER_END = "[INST]", "[/INST]"
 REPLY, REPLY_END = "<s>", "</s>"
@@ -68,8 +65,8 @@ def reply_span(piece: str) -> tuple[int, int] | None:
 
 
 class Incremental:
-    """Pieces of one conversation, turn by turn: from whole prefixes, or from the first and the
-    last ``window`` turns."""
+    """Pieces of one conversation, turn by turn: from whole prefixes, or from its first turn and the
+    ``window`` turns before the new one."""
 
     def __init__(self, template: Template, window: int | None = None):
         self.template, self.window, self.known, self.last = template, window, [], ""
@@ -93,33 +90,24 @@ class Incremental:
         return piece, start, rewritten
 
 
-def pieces(turns: list[Turn], template: Template) -> list[tuple[str, int, bool]]:
-    """``Incremental.add`` of every turn, as whole prefixes give it."""
-    state = Incremental(template)
-    out = [state.add(turn) for turn in turns[:WHOLE]]
-    if len(turns) <= WHOLE:
-        return out
-    cut = Incremental(template, WINDOW)
-    short = [cut.add(turn) for turn in turns]
-    if short[:WHOLE] == out and not any(rewritten for _, _, rewritten in short):
-        text = "".join(piece for piece, _, _ in short)
-        at = {len(turns)}
-        k = WHOLE
-        while k < len(turns):
-            at |= {k, k + 1}
-            k += k // 10
-        if all(template(turns[:n]) == text[: short[n - 1][1] + len(short[n - 1][0])] for n in sorted(at)):
+def pieces(turns: list[Turn], template: Template, depends_on: int | None = None) -> list[tuple[str, int, bool]]:
+    """``Incremental.add`` of every turn."""
+    if depends_on is not None:
+        cut = Incremental(template, depends_on)
+        short = [cut.add(turn) for turn in turns]
+        if not any(rewritten for _, _, rewritten in short) and template(turns) == "".join(piece for piece, _, _ in short):
             return short
-    return out + [state.add(turn) for turn in turns[WHOLE:]]
+    state = Incremental(template)
+    return [state.add(turn) for turn in turns]
 
 
 _PIECES = "conv_id long, n long, role string, piece string, start long, end long, mask_start long, mask_end long, rewritten boolean"
 
 
-def _rows(conv, turns: list[tuple], template: Template, mask) -> Iterator[pa.RecordBatch]:
+def _rows(conv, turns: list[tuple], template: Template, mask, depends_on) -> Iterator[pa.RecordBatch]:
     """The rows of one conversation, at most 1,000 in a batch."""
     names = ("conv_id", "n", "role", "piece", "start", "end", "mask_start", "mask_end", "rewritten")
-    found = pieces([(role or "", text or "") for role, text in turns], template)
+    found = pieces([(role or "", text or "") for role, text in turns], template, depends_on)
     for at in range(0, len(turns), 1000):
         rows = []
         for n, (piece, start, rewritten) in enumerate(found[at : at + 1000], at):
@@ -133,17 +121,17 @@ def _rows(conv, turns: list[tuple], template: Template, mask) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=_schema())
 
 
-def _format(batches: Iterator[pa.RecordBatch], template: Template, mask) -> Iterator[pa.RecordBatch]:
+def _format(batches: Iterator[pa.RecordBatch], template: Template, mask, depends_on) -> Iterator[pa.RecordBatch]:
     current, turns = None, []
     for batch in batches:
         for conv, role, text in zip(*[batch.column(k).to_pylist() for k in (0, 1, 2)], strict=True):
             if turns and conv != current:
-                yield from _rows(current, turns, template, mask)
+                yield from _rows(current, turns, template, mask, depends_on)
                 turns = []
             current = conv
             turns.append((role, text))
     if turns:
-        yield from _rows(current, turns, template, mask)
+        yield from _rows(current, turns, template, mask, depends_on)
 
 
 def _schema() -> pa.Schema:
@@ -151,11 +139,14 @@ def _schema() -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (c.split(" ") for c in _PIECES.split(", "))])
 
 
-def format_conversations(conversations: DataFrame, template: Template = instruct_template, mask=reply_span) -> DataFrame:
+def format_conversations(
+    conversations: DataFrame, template: Template = instruct_template, mask=reply_span, depends_on: int | None = None
+) -> DataFrame:
     """One row per turn in the order of ``turn`` (equal turns by role and text): ``conv_id``,
     ``n`` (place from 1), ``role``, ``piece`` (the turn as rendered; a conversation's formatted
     text is its pieces in order), ``start`` and ``end`` in that text, the span under the loss
-    mask, and ``rewritten``: the template changed what it had rendered before.
+    mask, and ``rewritten``: the template changed what it had rendered before. ``depends_on``
+    states that a turn's text follows from the first turn, so many before it, and itself.
 
     Null roles and texts are empty, null turns come first, rows without ``conv_id`` are one
     conversation. Repeated rows are turns of their own. Other columns are ignored. No rows, no
@@ -168,7 +159,7 @@ def format_conversations(conversations: DataFrame, template: Template = instruct
         F.col("turn").cast("long").alias("turn"),
     )
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return ordered.mapInArrow(lambda b: _format(b, template, mask), _PIECES)
+    return ordered.mapInArrow(lambda b: _format(b, template, mask, depends_on), _PIECES)
 
 
 def parse(piece: str) -> Turn:
