@@ -49,23 +49,26 @@ def build(x: np.ndarray, leaf: int = LEAF, seed: int = SEED):
     return grow(np.arange(len(x)))
 
 
-def search(tree, x: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and distances of the k nearest found (-1 and infinity where there are fewer);
-    ``own``: the row that is the query itself, or -1."""
-    best = np.full((len(q), k), np.inf)
-    found = np.full((len(q), k), -1, np.int64)
+def search(tree, x: np.ndarray, q: np.ndarray, own: np.ndarray, names: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Query and row numbers of the candidates found: the k nearest, and all as near as the last of
+    them up to rounding. A row whose name is the query's own is none."""
+    best = np.full((len(q), k), np.inf)  # squared distances
+    q2, x2 = (q * q).sum(1), (x * x).sum(1)
+    # What rounding may move a squared distance that is a difference of such norms.
+    slack = 1e-12 * (q2 + x2.max(initial=0.0))
+    hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def visit(node, active: np.ndarray) -> None:
         if len(active) == 0:
             return
         if isinstance(node, np.ndarray):
-            d = np.sqrt(np.maximum(((q[active] ** 2).sum(1)[:, None] + (x[node] ** 2).sum(1) - 2 * q[active] @ x[node].T), 0))
-            d[own[active][:, None] == node] = np.inf
+            d = q2[active][:, None] + x2[node] - 2 * q[active] @ x[node].T
+            d[own[active][:, None] == names[node]] = np.inf
             every = np.concatenate([best[active], d], 1)
-            names = np.concatenate([found[active], np.broadcast_to(node, d.shape)], 1)
-            at = np.argpartition(every, k - 1, axis=1)[:, :k]
-            best[active] = np.take_along_axis(every, at, 1)
-            found[active] = np.take_along_axis(names, at, 1)
+            best[active] = np.partition(every, k - 1, axis=1)[:, :k]
+            row, col = np.nonzero(d <= (best[active].max(1) + slack[active])[:, None])
+            some = np.isfinite(d[row, col])
+            hits.append((active[row[some]], node[col[some]], d[row[some], col[some]]))
             return
         point, inner, outer, near, far = node
         d = np.linalg.norm(q[active] - point, axis=1)
@@ -73,13 +76,16 @@ def search(tree, x: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, factor:
         first, second = active[inside], active[~inside]
         visit(near, first)
         visit(far, second)
-        within = lambda bound, a: bound <= factor * best[a].max(1) + 1e-12
-        visit(far, first[within(outer - d[inside], first)])
-        visit(near, second[within(d[~inside] - inner, second)])
+        reach = lambda a: np.sqrt(np.maximum(best[a].max(1) + slack[a], 0))
+        visit(far, first[outer - d[inside] <= factor * reach(first) + 1e-12])
+        visit(near, second[d[~inside] - inner <= factor * reach(second) + 1e-12])
 
     visit(tree, np.arange(len(q)))
-    found[~np.isfinite(best)] = -1
-    return found, best
+    if not hits:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    query, row, d = (np.concatenate(part) for part in zip(*hits, strict=True))
+    kept = d <= best[query].max(1) + slack[query]
+    return query[kept], row[kept]
 
 
 def _lifted(x: np.ndarray, norm: float) -> np.ndarray:
@@ -102,12 +108,7 @@ def _ask(trees: pa.Table, queries: pa.Table, norm: float, k: int, factor: float)
     ids, x, tree = pickle.loads(trees.column("tree")[0].as_py())
     q, names = matrix(queries.column("embedding")), np.asarray(queries.column("query_id"))
     place = np.asarray(queries.column("place"))
-    order = np.argsort(ids)
-    at = np.minimum(np.searchsorted(ids[order], names), len(ids) - 1)
-    own = np.where(ids[order][at] == names, order[at], -1)
-    found, _ = search(tree, _lifted(x, norm), np.column_stack([q, np.zeros(len(q))]), own, min(k, len(ids)), factor)
-    row, col = np.nonzero(found >= 0)
-    hit = found[row, col]
+    row, hit = search(tree, _lifted(x, norm), np.column_stack([q, np.zeros(len(q))]), names, ids, min(k, len(ids)), factor)
     score = (x[hit] * q[row]).sum(1)  # the same sum for equal vectors, wherever they stand
     return pa.table(
         {"query_id": pa.array(names[row]), "vec_id": pa.array(ids[hit]), "score": pa.array(score), "place": pa.array(place[row])}
@@ -124,12 +125,13 @@ def nearest(
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: for every row of ``queries`` the
     ``k`` rows of ``embeddings`` with the largest inner product, ties to the smaller ``vec_id``,
-    rows with the query's own id left out; fewer if there are fewer.
+    rows with the query's own id left out, whatever their vector; fewer if there are fewer.
 
     Null or zero vectors, ones with null or non-finite components and rows without an id take no
     part; vectors of another length than the query's are not its candidates. Of equal vectors
     only the ``k + 1`` smallest ids are indexed: no other one can be among the nearest. Rows
-    that repeat an id with the same vector are one row. Other columns are ignored.
+    that repeat an id with the same vector are one row; with different vectors they are asked and
+    found separately. Other columns are ignored. An empty table gives no rows.
     """
     kinds = lambda df: df.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")

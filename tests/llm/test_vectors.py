@@ -60,6 +60,29 @@ def test_nearest_with_factor_one_is_exact_and_the_default_close(spark):
     assert vptree.nearest(frame.limit(0), asked.limit(0)).count() == 0
 
 
+def test_ties_go_to_smaller_ids_in_one_shard_and_repeated_ids_are_left_out(spark):
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal(16)
+    rows = [(k, base.astype(np.float32).tolist()) for k in range(1, 61)]
+    rows += [(100 + 20 * k, (base + 1e-3 * rng.standard_normal(16)).astype(np.float32).tolist()) for k in range(5)]
+    rows += [(500 + k, rng.standard_normal(16).astype(np.float32).tolist()) for k in range(300)]
+    rows += [(120, rows[0][1]), (120, rows[70][1])]  # an id with three vectors
+    rows += [(1000 + k, np.eye(16, dtype=np.float32)[k % 16].tolist()) for k in range(64)]  # ties between different vectors
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = [(r[0], np.array(r[1], np.float64)) for r in rows if r[0] % 20 == 0]
+    asked.append((2000, np.ones(16)))
+    queries = spark.createDataFrame([(i, q.tolist()) for i, q in asked], "vec_id long, embedding array<double>")
+    got = {}
+    for r in vptree.nearest(frame, queries, factor=1.0).orderBy("rank").collect():
+        got.setdefault((r.query_id, r["rank"]), []).append(r.vec_id)
+    want = {}
+    for i, q in asked:
+        near = sorted({(-float((np.array(v, np.float64) * q).sum()), k, tuple(v)) for k, v in rows if k != i})[:20]
+        for rank, (_, k, _) in enumerate(near, 1):
+            want.setdefault((i, rank), []).append(k)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(1, 200)] + [(1000, 1000 + k) for k in range(1, 50)] + [(5000, 5000), (None, 3)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
