@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 
 from meterloom.llm.common import bounded_batches, stage_bucketed
 
-#: Characters of text after which a block is closed.
-BLOCK_CHARS = 16_000_000
+#: Characters of text after which a block is closed. A task holds a block's pieces, words and
+#: positions, about 25 bytes for each of its characters.
+BLOCK_CHARS = 4_000_000
 #: Distinct words that one encoding group should hold.
 GROUP_WORDS = 400_000
 #: A space before white space or the end: only then can a token reach over a space.
