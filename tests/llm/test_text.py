@@ -93,6 +93,27 @@ def test_jaccard_equals_brute_force(spark, docs, texts):
     assert jaccard.jaccard_groups(docs.limit(0)).count() == 0
 
 
+def test_a_large_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """1,000 texts, each the origin with some words changed: most are near the origin, few near each other."""
+    import random
+
+    rng = random.Random(4)
+    origin = [f"w{k}" for k in range(120)]
+    rows = [(0, " ".join(origin))]
+    for k in range(1, 1001):
+        words = list(origin)
+        at = rng.randrange(110)
+        words[at : at + 1 + k % 5] = [f"x{k}_{j}" for j in range(1 + k % 5)]
+        words[k % 7] = f"y{k}"
+        rows.append((k, " ".join(words)))
+    tried = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *rest: (tried.append(pairs.count()), verified(pairs, *rest))[1])
+    got = jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert groups(rows) == Counter((whole(a), int(b), whole(c)) for a, b, c in got.itertuples(index=False))
+    assert sum(tried) < 20 * len(rows)
+
+
 def test_boundary_grows_with_the_lists():
     assert jaccard.boundary(1.0) == 0 or jaccard.boundary(1.0) <= jaccard.boundary(4.0) < 1000
 
@@ -253,6 +274,7 @@ def test_templates_see_whole_prefixes(spark):
         "numbered": lambda turns: "".join(f"{k}:{t};" for k, (_, t) in enumerate(turns)),
         "cut": lambda turns: "".join("-" if k < len(turns) - 20 else f"{t};" for k, (_, t) in enumerate(turns)),
         "late": lambda turns: "".join(f"{t};" for _, t in turns) if len(turns) < 390 else "short",
+        "once": lambda turns: "".join(f"{t};" for _, t in turns) + ("!" if len(turns) == 300 else ""),
         "plain": chat.instruct_template,
     }
     for size in (30, 400):
@@ -265,6 +287,14 @@ def test_templates_see_whole_prefixes(spark):
             assert all(r.piece == b[r.start :] and a[: r.start] == b[: r.start] for r, a, b in zip(got, outs, outs[1:], strict=False)), name
 
 
+def test_a_stated_dependence_gives_the_same_pieces_and_a_false_one_is_found():
+    turns = [("user", f"turn {k}") for k in range(60)]
+    numbered = lambda turns: "".join(f"{k}:{t};" for k, (_, t) in enumerate(turns))
+    before = lambda turns: "".join(f"{t}<{turns[k - 1][1] if k else ''}" for k, (_, t) in enumerate(turns))
+    for template, depends_on in ((chat.instruct_template, 0), (before, 1), (numbered, 3)):
+        assert chat.pieces(turns, template, depends_on) == chat.pieces(turns, template)
+
+
 def test_names_of_a_layout_and_open_heads_keep_the_article():
     long = "the word of it is here and that was to be in the " * 6
     for name in ("content-sidebar-wrap", "layout with-sidebar", "page-header-fixed", "search-page", "legal-text", "sidebar"):
