@@ -72,19 +72,22 @@ def save_held_table(held_rows: DataFrame, table: str) -> None:
     held_rows.write.mode("append").partitionBy("run_dt").format("parquet").saveAsTable(table)
 
 
-def drop_partitions(spark: SparkSession, table: str) -> int:
-    """Drop every partition of a released hold table, all in one statement. The catalog lists
-    them as folder names, so their values are decoded and quoted first."""
-    found = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+def drop_listed(spark: SparkSession, table: str, partitions: Sequence[dict[str, str]]) -> None:
+    """Drop the listed partitions (column to value) of a table, all in one statement."""
+
+    def quoted(value: str) -> str:
+        return value.replace("\\", "\\\\").replace("'", "\\'")
 
-    def part(level: str) -> str:
-        column, value = map(unquote, level.split("=", 1))
-        value = value.replace("\\", "\\\\").replace("'", "\\'")
-        return f"`{column}`='{value}'"
+    parts = [", ".join(f"`{column}`='{quoted(value)}'" for column, value in p.items()) for p in partitions]
+    if parts:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(f'PARTITION ({p})' for p in parts)}")
 
-    listed = ", ".join(f"PARTITION ({', '.join(map(part, entry.split('/')))})" for entry in found)
-    if found:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
+
+def drop_partitions(spark: SparkSession, table: str) -> int:
+    """Drop every partition that a table has now; to drop what was released, see ``release``. The
+    catalog lists them as folder names, so their values are decoded first."""
+    found = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    drop_listed(spark, table, [dict(map(unquote, level.split("=", 1)) for level in entry.split("/")) for entry in found])
     return len(found)
 
 
@@ -133,7 +136,7 @@ def write_merge(
     if order is None and not m.duplicate_keys(staged, keys).isEmpty():
         raise ValueError("the source holds more than one row for a merge key")
 
-    before = _read_target(spark, target, source, partition)
+    before = read_target(spark, target, source, partition)
     unknown = [c for c in source.columns if c not in before.columns]
     if unknown:
         raise ValueError(f"the target has no column {', '.join(unknown)}")
@@ -151,7 +154,7 @@ def write_merge(
         # Rebalancing splits a day that holds most of the rows and joins small ones.
         result = overwrite_staging(merged.hint("rebalance", partition), f"{base}/merged")
         counts |= {r[0]: r[1] for r in result.groupBy(m.OP).count().collect()}
-        _replace_partitions(result.drop(m.OP), target, partition)
+        replace_partitions(result.drop(m.OP), target, partition)
 
     if not_matched:
         # A row without a day matches nothing and touches no listed partition: it is added.
@@ -173,7 +176,7 @@ def _is_table(target: str) -> bool:
     return "/" not in target
 
 
-def _read_target(spark: SparkSession, path: str, like: DataFrame, partition: str) -> DataFrame:
+def read_target(spark: SparkSession, path: str, like: DataFrame, partition: str) -> DataFrame:
     """The target in its own layout; a target that was never written is empty, in the source's. A table of the catalog has both.
 
     A partition column gets its type from the folder names, so the source's type is kept for it.
@@ -191,7 +194,17 @@ def _read_target(spark: SparkSession, path: str, like: DataFrame, partition: str
     return spark.read.schema(layout).parquet(path)
 
 
-def _replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+def read_or_empty(spark: SparkSession, path: str, layout: str | StructType) -> DataFrame:
+    """The rows of a folder that only grows; none if it was never written."""
+    try:
+        return spark.read.schema(layout).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], layout)
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     if _is_table(path):
         spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
         was = spark.conf.get(mode)

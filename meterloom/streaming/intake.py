@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from meterloom import spec
+from meterloom.sinks.ledger import merge_once
 from meterloom.sinks.tables import write_merge
 from meterloom.sources.xml import _options, document_schema
 
@@ -56,13 +57,27 @@ def upsert_stream(
     keys: Sequence[str] = tuple(spec.MERGE_KEYS),
     order: Sequence[str] = ("hdp_insert_dttm",),
     on_batch: Callable[[int, dict[str, int]], None] | None = None,
+    ledger: str | None = None,
+    name: str | None = None,
     **merge_options,
 ) -> StreamingQuery:
-    """Merge each micro-batch into the target. The merge is idempotent, so a batch that is run
-    again after a failure leaves the same target."""
+    """Merge each micro-batch into the target.
+
+    Spark runs a batch again, by the same number, if it does not know that it ended. With a
+    ``ledger`` (a folder) such a batch changes nothing that it has changed before: every row
+    arrives exactly once, under the stream's ``name`` (by default its checkpoint). Without one, a
+    batch that is run again leaves the same target but for labels, and but for rows with a null
+    in their key or without a day, which are inserted again.
+    """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        counts = write_merge(batch.sparkSession, batch, target_path, keys, order=order, **merge_options)
+        spark = batch.sparkSession
+        if ledger is None:
+            counts = write_merge(spark, batch, target_path, keys, order=order, **merge_options)
+        else:
+            counts = merge_once(
+                spark, batch, target_path, name or checkpoint, batch_id, ledger, keys, order=order, **merge_options
+            )
         if on_batch:
             on_batch(batch_id, counts)
 

@@ -324,6 +324,10 @@ ORACLES: dict[str, str] = {
         "files",
         "ready",
     ),
+    "intake_windows": f"""
+        SELECT l_orderkey, l_partkey || '-' || l_linenumber AS part_line,
+          CASE WHEN l_orderkey % {q.FOLDERS} IN (0, 1) AND l_linenumber <> 7 THEN 1 ELSE 2 END::BIGINT AS "window"
+        FROM lineitem WHERE l_orderkey % {q.FOLDERS} IN (1, 2, 3) OR l_orderkey % {q.FOLDERS} = 0 AND l_linenumber <> 7""",
     "batch_window": f"""SELECT event_id, user_id, event_type, value FROM events
         WHERE ts >= TIMESTAMP '{q.BATCH_START}' AND ts < TIMESTAMP '{q.BATCH_END}'""",
     "read_back": f"""
@@ -334,6 +338,14 @@ ORACLES: dict[str, str] = {
     "merge_update_only": _sql(_merge("update"), *_MERGE_CTES),
     "merge_insert_only": _sql(_merge("insert"), *_MERGE_CTES),
     "stream_upsert": _sql(_merge("upsert"), *_MERGE_CTES),
+    "upsert_replay": _sql(_merge("upsert"), *_MERGE_CTES),
+    "upsert_ledger": _sql(
+        f"""SELECT s.l_orderkey % 2 AS batch_id, 'done' AS state, count(t.l_orderkey) AS updated,
+          (count(*) - count(t.l_orderkey))::BIGINT AS inserted,
+          count(DISTINCT substr(s.l_shipdate, 1, 7))::INTEGER AS partitions
+        FROM src s LEFT JOIN tgt t ON {_MERGE_KEY} GROUP BY 1""",
+        *_MERGE_CTES,
+    ),
     "merge_metrics": _sql(
         f"""SELECT CASE WHEN t.l_orderkey IS NULL THEN 'insert' WHEN s.l_orderkey IS NULL THEN 'keep' ELSE 'update' END
             AS outcome, count(*) AS row_count,
@@ -600,6 +612,19 @@ ORACLES: dict[str, str] = {
         "held_stage",
         "held",
     ),
+    "hold_release_table": _sql(
+        """SELECT *, 'released' AS place FROM held_stage WHERE aep_usage_dt::DATE >= DATE '2001-08-01' - 15
+        UNION ALL
+        SELECT *, 'released' AS place FROM (SELECT * EXCLUDE (run_dt) FROM held
+        QUALIFY row_number() OVER (PARTITION BY serialnumber, endtimeperiod, aep_channel_id, aep_raw_uom
+          ORDER BY int_gatewaycollectedtime DESC, value DESC, source_id DESC, aep_opco DESC, aep_usage_dt DESC) = 1)
+        UNION ALL
+        SELECT *, 'held 20010808' AS place FROM held_stage
+        WHERE aep_usage_dt >= strftime(DATE '2001-08-08' - 185, '%Y-%m-%d')
+          AND aep_usage_dt < strftime(DATE '2001-08-08' - 15, '%Y-%m-%d')""",
+        "held_stage",
+        "held",
+    ),
     "hold_audit": _sql(
         "SELECT run_dt, aep_usage_dt, count(*) AS row_count FROM held GROUP BY ALL", "held_stage", "held"
     ),

@@ -16,8 +16,9 @@ from meterloom.operators import audit, conform, dedup, enrich, filters, flatten,
 from meterloom.operators.times import interval_times
 from meterloom.plans import authoritative, interval_feed, wide_feed
 from meterloom.session import cut_lineage, scratch_path
+from meterloom.sinks import ledger, release
 from meterloom.sinks import tables as sinks
-from meterloom.sources import listing, tables, wide, xml
+from meterloom.sources import control, listing, tables, wide, xml
 from meterloom.streaming import intake
 from meterloom.workload import shapes
 
@@ -29,6 +30,8 @@ PART_DATE = "20260101"
 BATCH_START, BATCH_END = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
 READY_START, READY_END = "2024-01-10 00:00:00", "2024-01-10 12:00:00"
 READ_MONTHS = ["1998-07", "1998-11", "1999-02"]
+#: Folders that arriving files are dealt to; one of them is never marked as ready.
+FOLDERS = 5
 MERGE_SET = ["value", "hdp_update_user"]
 #: Channels of the readings that the first of two runs brings, and of those that the second repeats.
 FIRST_RUN, AGAIN = ["1", "2", "3"], ["3"]
@@ -203,6 +206,60 @@ def ready_files_summary(spark, d):
     return listing.ready_files_summary(_ready(spark, d))
 
 
+def _arrivals(spark, d, base: str, late: bool) -> None:
+    """Readings as XML files in folders; those of line number 7 arrive late."""
+    rows = shapes.feed_rows(spark, d).filter((F.col("l_linenumber") == 7) == late)
+    documents = rows.select(
+        F.col("serial").alias("_MeterName"),
+        F.concat(F.lit("M"), "l_orderkey").alias("_MacID"),
+        F.concat(F.lit("u"), F.col("l_orderkey") % FOLDERS).alias("folder"),
+        F.concat("l_partkey", F.lit("-"), "l_linenumber").alias("_UtilDeviceID"),
+    )
+    writer = documents.write.format("xml").option("rowTag", spec.ROW_TAG).option("rootTag", "MeterFeed").option("attributePrefix", "_")
+    writer.mode("append").partitionBy("folder").save(base)
+
+
+@query
+def intake_windows(spark, d):
+    """Files that arrive in folders, read by windows over the folders' markers. In the first window
+    two folders are ready. Then late files arrive, and in the second window one of the two is marked
+    again and two more are. The first window fails once after it has read, and is run again; a
+    window later there is nothing to do. A folder without marker stays unread."""
+    base, state, out = (scratch_path(spark, n) for n in ("arrivals", "intake", "taken"))
+    hours = {n: dt.datetime(2024, 1, n) for n in (1, 2, 3, 4)}
+
+    def listed(marks: dict[int, dt.datetime]) -> DataFrame:
+        files = listing.list_files(spark, base).withColumn("modificationTime", F.col("modificationTime").cast("timestamp_ntz"))
+        marked = spark.createDataFrame([(f"{base}/folder=u{k}/{spec.MARKER_FILE}", t, 0) for k, t in marks.items()], "path string, modificationTime timestamp_ntz, length long")
+        return listing.with_layout(files.unionByName(marked), base)
+
+    failed = []
+
+    def take(documents: DataFrame, window: control.Window) -> None:
+        rows = documents.select("_MacID", "_UtilDeviceID", F.lit(window.version).alias("window"))
+        if window.version == 1 and not failed:
+            failed.append(rows.count())
+            raise _CutOff
+        rows.write.mode("append").parquet(out)
+
+    def run(marks: dict[int, dt.datetime], end: dt.datetime) -> None:
+        schema = "_MeterName STRING, _MacID STRING, _UtilDeviceID STRING"
+        control.run_window(spark, listed(marks), state, end, lambda paths: xml.read_meter_xml(spark, paths, schema=schema), take)
+
+    _arrivals(spark, d, base, late=False)
+    marks = {0: hours[1], 1: hours[1]}
+    try:
+        run(marks, hours[2])
+    except _CutOff:
+        run(marks, hours[2])
+    _arrivals(spark, d, base, late=True)
+    run(marks | {1: hours[2], 2: hours[2], 3: hours[2]}, hours[3])
+    run(marks | {1: hours[2], 2: hours[2], 3: hours[2]}, hours[4])
+    return spark.read.parquet(out).select(
+        F.substring("_MacID", 2, 20).cast("long").alias("l_orderkey"), F.col("_UtilDeviceID").alias("part_line"), "window"
+    )
+
+
 @query
 def batch_window(spark, d):
     events = shapes.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
@@ -248,6 +305,59 @@ def merge_upsert(spark, d):
     return _read_target(spark, d, path)
 
 
+class _CutOff(Exception):
+    pass
+
+
+def _cut_off_at(state: str):
+    def told(reached: str) -> None:
+        if reached == state:
+            raise _CutOff(state)
+
+    return told
+
+
+@query
+def upsert_replay(spark, d):
+    """Three batches through a ledger. The second is cut off before it replaces anything and the
+    third after; then all three are run again, twice. Rows without a line number match nothing, so
+    each further insert would show."""
+    path, entries = _load_target(spark, d), scratch_path(spark, "ledger")
+    source = sinks.overwrite_staging(shapes.merge_input(spark, d, "source"), scratch_path(spark, "incoming"))
+
+    def run(batch: int, on_state=None) -> None:
+        rows = source.filter(F.col("l_orderkey") % 3 == batch)
+        ledger.merge_once(
+            spark, rows, path, "feed", batch, entries, shapes.MERGE_LINE_KEYS, MERGE_SET,
+            partition="ship_month", order=["l_partkey"], on_state=on_state,
+        )
+
+    run(0)
+    for batch, state in ((1, ledger.STAGED), (2, ledger.DONE)):
+        try:
+            run(batch, _cut_off_at(state))
+        except _CutOff:
+            run(batch)
+    for batch in (0, 1, 2) * 2:
+        run(batch)
+    return _read_target(spark, d, path)
+
+
+@query
+def upsert_ledger(spark, d):
+    """What the ledger says of two batches, one of them run twice."""
+    path, entries = _load_target(spark, d), scratch_path(spark, "ledger")
+    for batch in (0, 1, 0):
+        rows = shapes.merge_input(spark, d, "source").filter(F.col("l_orderkey") % 2 == batch)
+        ledger.merge_once(
+            spark, rows, path, "feed", batch, entries, shapes.MERGE_LINE_KEYS, MERGE_SET,
+            partition="ship_month", order=["l_partkey"],
+        )
+    return ledger.batches(spark, entries, "feed").select(
+        "batch_id", "state", "updated", "inserted", F.size("partitions").alias("partitions")
+    )
+
+
 def _merged(spark, d, **options):
     target = shapes.merge_input(spark, d, "target")
     source = dedup.keep_latest(shapes.merge_input(spark, d, "source"), shapes.MERGE_LINE_KEYS, ["l_partkey"])
@@ -660,6 +770,23 @@ def hold_release(spark, d):
     return hold.hold_release(stage, _held(spark, d))
 
 
+@query
+def hold_release_table(spark, d):
+    """Two runs held in a table of the catalog, listed for release; a third run is held before the
+    rows are released and dropped. The release is run again. Where every row is in the end."""
+    name, path, entries = f"meterloom_held_{uuid.uuid4().hex}", scratch_path(spark, "stage"), scratch_path(spark, "manifest")
+    stage = shapes.held_stage(spark, d)
+    for back in (7, 0):
+        sinks.save_held_table(hold.held(stage, anchor=ANCHOR - dt.timedelta(days=back)), name)
+    release.begin_release(spark, name, entries, "r1")
+    sinks.save_held_table(hold.held(stage, anchor=ANCHOR + dt.timedelta(days=7)), name)
+    for _ in range(2):
+        release.release(spark, hold.kept(stage, anchor=ANCHOR), name, path, entries, "r1")
+    staged = release.released(spark, path, stage, "r1").withColumn("place", F.lit("released"))
+    left = tables.read_table(spark, name)
+    return staged.unionByName(left.select(*stage.columns, F.concat(F.lit("held "), "run_dt").alias("place")))
+
+
 @query
 def hold_audit(spark, d):
     return hold.hold_audit(_held(spark, d))

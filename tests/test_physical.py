@@ -102,6 +102,6 @@ def test_merge_reads_touched_partitions_only(spark):
     path = scratch_path(spark, "target")
     target = shapes.merge_input(spark, SF_DIR, "target")
     sinks.append_partitioned(target, path, ["ship_month"])
-    touched = sinks._read_target(spark, path, target, "ship_month")
+    touched = sinks.read_target(spark, path, target, "ship_month")
     text = explained(filters.read_back(touched, "ship_month", ["1998-07"]))
     assert re.search(r"PartitionFilters: \[isnotnull\(ship_month#\d+\), \(ship_month#\d+ = 1998-07\)\]", text)
