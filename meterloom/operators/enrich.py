@@ -13,6 +13,7 @@ from meterloom.functions.times import from_zone, wall_seconds
 from meterloom.operators import joins
 from meterloom.operators.dedup import keep_latest
 from meterloom.operators.filters import company_filter
+from meterloom.session import stage_once
 
 # Names under which an assignment's columns appear next to a reading.
 ASSIGNMENT_OUTPUT = {
@@ -99,6 +100,7 @@ def assignment_join(
     pick: str | None = None,
     keys: Sequence[str] = ("metername", "endtime", "channel", "uom"),
     how: str = "left",
+    binned: bool = False,
     **bounds,
 ) -> DataFrame:
     """Readings joined to the assignments valid at their end, both ends included.
@@ -106,6 +108,10 @@ def assignment_join(
     ``df`` has ``metername`` and ``unix_endtime``; ``bounded`` comes from ``validity_bounds``.
     A reading covered by two assignments yields two rows, unless ``pick="latest"``, which
     leaves one row per reading key: the one with the latest install time.
+
+    A reading is compared with all assignments of its meter. ``binned=True`` is for meters with
+    very many of them: it enters each assignment in the cells of time that it covers and compares
+    a reading with those of its own cells (see ``binned_join``); the rows are the same.
     """
     lookup = bounded.select(
         F.col("mfr_devc_ser_nbr").alias("a_serial"),
@@ -115,9 +121,12 @@ def assignment_join(
     at = F.col("unix_endtime")
     valid = at.between(F.col(BOUNDS[0]), F.col(BOUNDS[1])) & at.between(F.col(BOUNDS[2]), F.col(BOUNDS[3]))
     spread = [k for k in keys if k != "metername"]
-    joined = joins.lookup_join(
-        df, lookup, {"metername": "a_serial"}, spread, how=how, residual=valid, **bounds
-    )
+    if binned:
+        joined = _binned(df, lookup, spread, how, **bounds)
+    else:
+        joined = joins.lookup_join(
+            df, lookup, {"metername": "a_serial"}, spread, how=how, residual=valid, **bounds
+        )
     if how == "left_anti":
         return joined.select(*df.columns)
     added = [F.col(f"a_{s}").alias(o) for s, o in ASSIGNMENT_OUTPUT.items()]
@@ -129,6 +138,27 @@ def assignment_join(
     return keep_latest(rows, list(keys), ["unix_mtr_inst_ts"]).drop("unix_mtr_inst_ts")
 
 
+def _binned(df: DataFrame, lookup: DataFrame, spread: Sequence[str], how: str, **bounds) -> DataFrame:
+    """As the join of readings with all assignments of their meter, by cells. A reading without a
+    match is one that no pair names, by a number of its own."""
+    numbered = stage_once(df.withColumn("_reading", F.monotonically_increasing_id()), "readings")
+    narrow = lookup.withColumns(
+        {"_first": F.greatest(BOUNDS[0], BOUNDS[2]), "_last": F.least(BOUNDS[1], BOUNDS[3])}
+    ).dropna(subset=list(BOUNDS))
+    found = joins.binned_join(
+        numbered, narrow, {"metername": "a_serial"}, "unix_endtime", ("_first", "_last"), ["_reading", *spread], **bounds
+    ).drop("_first", "_last")
+    if how == "inner":
+        return found.drop("_reading")
+    found = stage_once(found, "matched")
+    rest = numbered.join(found.select(F.col("_reading").alias("_known")).distinct(), F.col("_reading") == F.col("_known"), "left_anti")
+    if how == "left_anti":
+        return rest.drop("_reading")
+    if how != "left":
+        raise ValueError(f"how is left, inner or left_anti, not {how!r}")
+    return found.unionByName(rest, allowMissingColumns=True).drop("_reading")
+
+
 def unmatched_readings(df: DataFrame, bounded: DataFrame, uom: DataFrame, **bounds) -> DataFrame:
     """Readings that no assignment covers or whose channel the lookup does not list, each with
     the reason; a reading that misses both appears once per reason."""

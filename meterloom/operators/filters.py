@@ -38,6 +38,17 @@ def company_filter(df: DataFrame, opco: str, column: str = "co_cd_ownr") -> Data
     return df.filter(F.col(column).isin(spec.COMPANY_CODES[opco]))
 
 
+def by_operating_unit(df: DataFrame, column: str = "co_cd_ownr", name: str = "opco") -> DataFrame:
+    """Rows of all operating units in one pass: each row once for every unit its company belongs
+    to, with that unit as ``name``. Rows of other companies are left out."""
+    units: dict[str, list[str]] = {}
+    for unit, companies in spec.COMPANY_CODES.items():
+        for company in companies:
+            units.setdefault(company, []).append(unit)
+    listed = F.create_map(*[x for c, u in units.items() for x in (F.lit(c), F.array(*map(F.lit, u)))])
+    return df.filter(F.col(column).isin(list(units))).withColumn(name, F.explode(F.element_at(listed, F.col(column))))
+
+
 def batch_window(df: DataFrame, ts_col: str, start=None, end=None, control: DataFrame | None = None) -> DataFrame:
     """Rows with ``start <= ts < end``.
 

@@ -64,3 +64,77 @@ def lookup_join(
     # rules that out.
     salted = add_salt(left, [*keys, *spread], salts)
     return salted.join(copies.hint("merge"), [*on, F.col(SALT) == F.col("_copy")], how).drop("_copy", SALT)
+
+
+#: Width in seconds of the smallest cell, how many times as wide each next one is, and levels.
+CELL, WIDER, LEVELS = 86_400, 32, 4
+
+
+def cells_of(first: Column, last: Column, cell: int = CELL, wider: int = WIDER, levels: int = LEVELS) -> Column:
+    """The cells (level, number) that cover a closed range of seconds, as an array of structs.
+
+    A range goes to the first level at which it spans at most ``wider`` cells more than one, so it
+    has at most ``wider + 1`` of them; the last level is one cell for all of time. An empty range,
+    or one without a bound, has none.
+    """
+    span = last - first
+    level = F.lit(levels)
+    for k in reversed(range(levels)):
+        level = F.when(span <= F.lit(cell * wider ** (k + 1)).cast("long"), k).otherwise(level)
+    choice = F.lit(None)
+    for k in range(levels):
+        width = F.lit(cell * wider**k).cast("long")
+        numbers = F.sequence(F.floor(first / width), F.floor(last / width))
+        here = F.transform(numbers, _cell_of_level(k))
+        choice = F.when(level == k, here) if k == 0 else choice.when(level == k, here)
+    everything = F.array(F.struct(F.lit(levels).alias("level"), F.lit(0).cast("long").alias("cell")))
+    return F.when(span >= 0, choice.otherwise(everything))
+
+
+def _cell_of_level(level: int):
+    return lambda number: F.struct(F.lit(level).alias("level"), number.cast("long").alias("cell"))
+
+
+def cell_at(at: Column, level: Column, cell: int = CELL, wider: int = WIDER, levels: int = LEVELS) -> Column:
+    """The number of the cell of a level that holds a second."""
+    number = F.lit(0).cast("long")
+    for k in range(levels):
+        number = F.when(level == k, F.floor(at / F.lit(cell * wider**k).cast("long"))).otherwise(number)
+    return number
+
+
+def binned_join(
+    left: DataFrame,
+    lookup: DataFrame,
+    keys: dict[str, str],
+    at: str,
+    bounds: tuple[str, str],
+    spread: Sequence[str],
+    cell: int = CELL,
+    wider: int = WIDER,
+    levels: int = LEVELS,
+    **sizes,
+) -> DataFrame:
+    """Rows of ``left`` with the rows of ``lookup`` whose closed range ``bounds`` holds ``at``, for
+    equal keys. Inner: rows of ``left`` without a match are not in it.
+
+    A range is entered in every cell it covers, narrow ones in narrow cells and wide ones in wide
+    cells; a row asks one cell of each level that occurs. So it is compared with ranges that
+    reach into its own cell only, not with all of its key, and as a range of a level is longer
+    than a cell of it (the smallest level aside), few of these do not hold it.
+    """
+    first, last = (F.col(b) for b in bounds)
+    entered = lookup.withColumn("_in", F.explode(cells_of(first, last, cell, wider, levels))).select(
+        *lookup.columns, F.col("_in.level").alias("_level"), F.col("_in.cell").alias("_cell")
+    )
+    # At most levels + 1 numbers.
+    used = sorted(r[0] for r in entered.select("_level").distinct().collect())
+    if not used:
+        used = [levels]
+    asked = left.withColumn("_ask", F.explode(F.array(*map(F.lit, used)))).withColumn(
+        "_at", cell_at(F.col(at), F.col("_ask"), cell, wider, levels)
+    )
+    inside = F.col(at).between(first, last)
+    pairs = {**keys, "_ask": "_level", "_at": "_cell"}
+    joined = lookup_join(asked, entered, pairs, [at, *spread], how="inner", residual=inside, **sizes)
+    return joined.drop("_ask", "_at", "_level", "_cell")

@@ -47,3 +47,10 @@ def cut_lineage(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_path(spark, "checkpoint"))
     return df.checkpoint(eager=True)
+
+
+def stage_once(df, label: str):
+    """``df`` written to the shared folder and read back: computed once, whatever reads it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

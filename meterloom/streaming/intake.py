@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,6 +52,54 @@ def keep_first(stream: DataFrame, keys: Sequence[str], event_time: str, delay: s
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def keep_first_for(
+    stream: DataFrame, keys: Sequence[str], event_time: str, forget: str, lateness: str = "0 seconds"
+) -> DataFrame:
+    """The first row of each key, whole, and the first again once ``forget`` has passed since the
+    row that was kept: a row is kept if no row of its key was kept in the time ``forget`` before it.
+
+    The state of a key is the time of its kept row. A timer drops it when the watermark (the
+    latest time seen less ``lateness``) has passed the time by ``forget``, so state holds the
+    keys of that span only. Within a batch rows are taken by time, then by their other columns;
+    rows that arrive behind the watermark are dropped and counted (``late_rows``). A key's rows
+    of one batch are sorted in one task's memory, which the size of a batch bounds. Rows without
+    a time have no place in the order and are dropped; null keys are a key.
+    """
+    spark = stream.sparkSession
+    columns = stream.columns
+    span = pd.Timedelta(forget)
+    order = [event_time, *[c for c in columns if c != event_time]]
+
+    def step(key: tuple, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values(order, kind="stable", na_position="first")
+        kept = pd.Timestamp(state.get[0], unit="us") if state.exists else None
+        chosen = []
+        for place, at in enumerate(rows[event_time]):
+            if kept is None or at > kept + span:
+                chosen.append(place)
+                kept = at
+        state.update((kept.value // 1000,))
+        gone = (kept + span).value // 1_000_000 + 1
+        if gone > state.getCurrentWatermarkMs():
+            state.setTimeoutTimestamp(gone)
+        else:
+            state.remove()
+        if chosen:
+            yield rows.iloc[chosen][columns]
+
+    timed = stream.filter(F.col(event_time).isNotNull()).withWatermark(event_time, lateness)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+    return timed.groupBy(*keys).applyInPandasWithState(step, schema, "kept long", "append", "EventTimeTimeout")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that stateful operators of a run have dropped because they came behind the watermark."""
+    return sum(int(o["numRowsDroppedByWatermark"]) for p in query.recentProgress for o in p["stateOperators"])
+
+
 def upsert_stream(
     stream: DataFrame,
     target_path: str,

@@ -374,12 +374,8 @@ ORACLES: dict[str, str] = {
         FROM ({_target(spec.TARGET_COLUMNS, "latest", _FLOAT_COLUMNS, pick=True)})""",
         *_SOURCE, "latest", *_OWNED,
     ),
-    "describe_target": _sql(
-        f"""SELECT c.*, (SELECT count(*) FROM latest) AS stored_rows
+    "describe_target": f"""SELECT c.*, (SELECT count(*) FROM orders) AS stored_rows
         FROM (VALUES {", ".join(f"('{c}', '{spec.type_of(c)}')" for c in spec.TARGET_COLUMNS)}) AS c(col_name, data_type)""",
-        *_SOURCE,
-        "latest",
-    ),
     "partition_profile": _sql("SELECT count(*) AS row_count FROM lineitem"),
     "materialise_once": _sql(
         """SELECT substr(l_shipdate, 1, 7) AS month, count(*) AS row_count FROM versions_latest GROUP BY 1
@@ -482,6 +478,13 @@ ORACLES: dict[str, str] = {
         "uom",
     ),
     "assignment_join": _sql(f"SELECT {_ASSIGNED} FROM feed f LEFT JOIN owned a ON {_VALID}", *_FEED, *_OWNED),
+    "assignment_join_binned": _sql(f"SELECT {_ASSIGNED} FROM feed f LEFT JOIN owned a ON {_VALID}", *_FEED, *_OWNED),
+    "open_orders": """
+        WITH placed AS (SELECT o_orderkey, o_custkey % 20 AS customer, epoch(date_trunc('day', o_orderdate))::BIGINT AS sec FROM orders),
+        opened AS (SELECT o_orderkey AS earlier, customer AS owner, sec + 1 AS lo, sec + CASE WHEN o_orderkey % 50 = 0
+          THEN 86400 * 3000 WHEN o_orderkey % 7 = 0 THEN 86400 * 40 ELSE 3600 END AS hi FROM placed WHERE o_orderkey % 3 = 0)
+        SELECT o_orderkey, count(*) AS open_orders, sum(earlier)::BIGINT AS keys_sum
+        FROM placed JOIN opened ON owner = customer AND sec BETWEEN lo AND hi GROUP BY o_orderkey""",
     "assignment_join_latest": _sql(
         f"""SELECT {_ASSIGNED} FROM (
           SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY serial, end_text, channel, l_returnflag
@@ -644,5 +647,15 @@ ORACLES: dict[str, str] = {
         "uom",
     ),
     "stream_intake": "SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem",
+    "stream_keep_first": f"""
+        WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events),
+        walk AS (
+          SELECT event_id, user_id, event_type, ts, value, n, ts AS kept FROM e WHERE n = 1
+          UNION ALL
+          SELECT e.event_id, e.user_id, e.event_type, e.ts, e.value, e.n,
+            CASE WHEN e.ts > w.kept + INTERVAL {q.FORGET_HOURS} HOUR THEN e.ts ELSE w.kept END
+          FROM walk w JOIN e ON e.user_id = w.user_id AND e.event_type = w.event_type AND e.n = w.n + 1)
+        SELECT event_id, user_id, event_type, floor(epoch(ts))::BIGINT AS seconds, value FROM walk
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type, kept ORDER BY n) = 1""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from meterloom import spec
 from meterloom.functions import numbers, text
 from meterloom.functions import times as t
-from meterloom.operators import audit, conform, dedup, enrich, filters, flatten, hold, merge
+from meterloom.operators import audit, conform, dedup, enrich, filters, flatten, hold, joins, merge
 from meterloom.operators.times import interval_times
 from meterloom.plans import authoritative, interval_feed, wide_feed
 from meterloom.session import cut_lineage, scratch_path
@@ -30,6 +30,8 @@ PART_DATE = "20260101"
 BATCH_START, BATCH_END = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
 READY_START, READY_END = "2024-01-10 00:00:00", "2024-01-10 12:00:00"
 READ_MONTHS = ["1998-07", "1998-11", "1999-02"]
+#: Hours after which a kept event's key is forgotten.
+FORGET_HOURS = 48
 #: Folders that arriving files are dealt to; one of them is never marked as ready.
 FOLDERS = 5
 MERGE_SET = ["value", "hdp_update_user"]
@@ -425,9 +427,12 @@ def merge_readings(spark, d):
 
 @query
 def describe_target(spark, d):
+    """Columns of the target and the rows it stores, counted from its files."""
     name = f"meterloom_target_{uuid.uuid4().hex}"
     sinks.create_target(spark, name, scratch_path(spark, "table"))
-    sinks.insert_target(_consume(spark, d), name)
+    rows = shapes.held_stage(spark, d)
+    stage = rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(spec.type_of(c)).alias(c) for c in spec.TARGET_COLUMNS])
+    sinks.insert_target(stage, name)
     stored = tables.read_table(spark, name).agg(F.count(F.lit(1)).alias("stored")).first()["stored"]
     described = sinks.describe_target(spark, name).filter(~F.col("col_name").startswith("#"))
     return described.select("col_name", "data_type").distinct().withColumn("stored_rows", F.lit(stored).cast("long"))
@@ -539,13 +544,8 @@ def date_floor_strict(spark, d):
 
 @query
 def company_filter(spark, d):
-    frames = [
-        filters.company_filter(shapes.assignments(spark, d), opco)
-        .select("mfr_devc_ser_nbr", "co_cd_ownr", "mtr_inst_ts")
-        .withColumn("opco", F.lit(opco))
-        for opco in spec.COMPANY_CODES
-    ]
-    return audit.union_all(frames)
+    owned = shapes.assignments(spark, d).select("mfr_devc_ser_nbr", "co_cd_ownr", "mtr_inst_ts")
+    return filters.by_operating_unit(owned)
 
 
 # --- joins -------------------------------------------------------------------------------
@@ -567,6 +567,28 @@ def assignment_join(spark, d):
     return enrich.assignment_join(_plain_readings(spark, d), _bounded(spark, d)).select(*_ASSIGNED)
 
 
+@query
+def assignment_join_binned(spark, d):
+    """The same rows by cells of time."""
+    return enrich.assignment_join(_plain_readings(spark, d), _bounded(spark, d), binned=True).select(*_ASSIGNED)
+
+
+@query
+def open_orders(spark, d):
+    """Orders that were placed while a customer's earlier order was open: customers with very many
+    orders have as many ranges. Ranges last from an hour to years."""
+    placed = shapes.orders(spark, d).select(
+        "o_orderkey", (F.col("o_custkey") % 20).alias("customer"), (F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * 86400).alias("at")
+    )
+    k = F.col("o_orderkey")
+    length = F.when(k % 50 == 0, 86400 * 3000).when(k % 7 == 0, 86400 * 40).otherwise(3600)
+    open_ = placed.filter(k % 3 == 0).select(
+        F.col("customer").alias("owner"), F.col("o_orderkey").alias("earlier"), (F.col("at") + 1).alias("first"), (F.col("at") + length).alias("last")
+    )
+    found = joins.binned_join(placed, open_, {"customer": "owner"}, "at", ("first", "last"), ["o_orderkey"])
+    return found.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("open_orders"), F.sum("earlier").alias("keys_sum"))
+
+
 @query
 def assignment_join_latest(spark, d):
     """Without the company filter, so that overlapping assignments occur often."""
@@ -850,6 +872,26 @@ def stream_dedup(spark, d):
     return spark.read.parquet(out)
 
 
+@query
+def stream_keep_first(spark, d):
+    """Events that arrive in three batches by time. A key is forgotten two days after its kept
+    event, so many keys are kept more than once; whole rows are kept."""
+    arriving = scratch_path(spark, "events")
+    events = shapes.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    for part in range(3):
+        lower, upper = (first + (last - first) * k / 3 for k in (part, part + 1))
+        inside = (F.col("ts") >= lower) & ((F.col("ts") < upper) if part < 2 else F.lit(True))
+        events.filter(inside).coalesce(1).write.mode("append").parquet(arriving)
+    stream = intake.stream_parquet(spark, arriving, events.schema, files_per_batch=1)
+    kept = intake.keep_first_for(stream, ["user_id", "event_type"], "ts", f"{FORGET_HOURS} hours")
+    out = scratch_path(spark, "stream")
+    intake.run_once(kept, out, scratch_path(spark, "stream-checkpoint"))
+    return spark.read.schema(events.schema).parquet(out).select(
+        "event_id", "user_id", "event_type", F.unix_seconds("ts").alias("seconds"), "value"
+    )
+
+
 @query
 def stream_upsert(spark, d):
     path, incoming = _load_target(spark, d), scratch_path(spark, "incoming")

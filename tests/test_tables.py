@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from meterloom import spec
-from meterloom.operators import conform, dedup, hold, merge
+from meterloom.operators import conform, dedup, hold, joins, merge
 from meterloom.session import scratch_path
 from meterloom.sinks import tables as sinks
 
@@ -233,3 +233,36 @@ def test_feed_keeps_new_rows_of_one_unit(spark):
     df = spark.createDataFrame(data, spec.ddl(sorted(base)))
     assert rows(conform.incremental_feed(df, "oh", "x"), "aep_opco", "run_date") == [("oh", "x")]
     assert len(conform.incremental_feed(df, "oh").first()["run_date"]) == 15
+
+
+# --- binned join -------------------------------------------------------------------------
+
+
+def test_binned_join_of_one_meter_with_very_many_assignments(spark):
+    """100,000 ranges of one meter, from minutes to decades: the same pairs, few comparisons."""
+    day = 86_400
+    ranges = spark.range(100_000).select(
+        F.lit("m").alias("a_serial"),
+        (F.col("id") * 3600).alias("first"),
+        (F.col("id") * 3600 + F.expr(f"CASE id % 1000 WHEN 0 THEN {day * 4000} WHEN 1 THEN {day * 90} ELSE 1800 END")).alias("last"),
+        F.col("id").alias("a"),
+    )
+    odd = spark.createDataFrame([("m", 10, 5, -1), ("m", None, 9, -2), ("m", 0, None, -3), ("m", -50, -50, -4), ("x", 0, 10**10, -5)], "a_serial string, first long, last long, a long")
+    lookup = ranges.unionByName(odd).cache()
+    readings = spark.range(0, 400).select(F.lit("m").alias("metername"), (F.col("id") * 777_777).alias("at"), F.col("id").alias("r"))
+    readings = readings.unionByName(spark.createDataFrame([("m", -50, -1), ("m", None, -2), (None, 5, -3), ("x", 7, -4)], "metername string, at long, r long"))
+    plain = readings.join(F.broadcast(lookup), (F.col("metername") == F.col("a_serial")) & F.col("at").between(F.col("first"), F.col("last")))
+    for sizes in ({}, {"max_rows": 10}):
+        got = joins.binned_join(readings, lookup, {"metername": "a_serial"}, "at", ("first", "last"), ["r"], **sizes)
+        assert got.columns == plain.columns
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    entered = lookup.withColumn("e", F.explode(joins.cells_of(F.col("first"), F.col("last"))))
+    assert entered.count() < 1.2 * lookup.count()
+    tried = readings.join(entered, (F.col("metername") == F.col("a_serial")) & (joins.cell_at(F.col("at"), F.col("e.level")) == F.col("e.cell"))).groupBy("r").count()
+    assert tried.agg(F.max("count")).first()[0] < 400  # of 100,000
+
+
+def test_binned_join_without_ranges(spark):
+    left = spark.createDataFrame([("m", 1)], "k string, at long")
+    right = spark.createDataFrame([], "k2 string, first long, last long")
+    assert joins.binned_join(left, right, {"k": "k2"}, "at", ("first", "last"), []).count() == 0
