@@ -15,8 +15,7 @@ mostly), and leaves the centre out from then on; connected sets are one componen
 left out when all its members are in one. In what remains, the members outside a list's largest
 component are compared with all others of other components. So every pair that is not in one
 component by then shares a list and is compared there, and no link between different components
-is lost. Every link is verified on the whole sets, which are written once, for the sets that
-share a list with another one.
+is lost. Every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -244,10 +243,13 @@ def jaccard_groups(
         profile.filter("shingle is not null").groupBy("shingle").agg(F.sum("df").alias("df")).filter(f"df >= 8 OR shingle % {COUNTED} = 0"),
         "jaccard-counts",
     )
+    common, floor = _most_frequent(counts, ordered)
+    # Frequent members stand last and hardly start a list, so the lists met are those of the others.
     # Signed remainders are 0 where the unsigned ones are, for a power of two.
-    sums = counts.filter(f"shingle % {COUNTED} = 0").agg(F.sum("df"), F.sum(F.col("df").cast("double") ** 2)).first()
+    counted = counts.filter(f"shingle % {COUNTED} = 0").filter(F.lit(True) if floor is None else F.col("df") < floor)
+    sums = counted.agg(F.sum("df"), F.sum(F.col("df").cast("double") ** 2)).first()
     light = boundary(sums[1] / sums[0], percent) if sums[0] else 0
-    common = _most_frequent(counts, ordered).toPandas()
+    common = common.toPandas()
     values = common["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(values)
     shared = spark.sparkContext.broadcast((values[order], common["df"].to_numpy(np.int64)[order]))
@@ -260,7 +262,9 @@ def jaccard_groups(
     # Most members occur in one set only; their lists end here, before anything is joined.
     made: list[str] = []
     lists = stage_bucketed(
-        postings.withColumns({"lo": F.min("cls").over(per_key), "hi": F.max("cls").over(per_key)})
+        postings.withColumns(
+            {"lo": F.min("cls").over(per_key), "hi": F.max("cls").over(per_key), "length": F.count(F.lit(1)).over(per_key)}
+        )
         .filter("lo < hi")
         .drop("lo", "hi")
         .dropDuplicates(["key", "cls"]),
@@ -268,10 +272,8 @@ def jaccard_groups(
         "key",
         names=made,
     )
-    of_key = lists.groupBy("key").agg(F.count(F.lit(1)).alias("length"))
-    degrees = lists.join(of_key, "key").groupBy("cls").agg(F.sum("length").alias("degree"))
+    degrees = lists.groupBy("cls").agg(F.sum("length").alias("degree"))
     state = stage(degrees.withColumn("comp", F.col("cls")), "jaccard-state")
-    sets = stage_bucketed(_sets_of(state, named, classes, width), "jaccard_sets", "cls", names=made)
 
     links = None
     for turn in range(3):
@@ -281,7 +283,7 @@ def jaccard_groups(
                 state.join(label, "cls", "left").select("cls", "degree", F.coalesce("label", "comp").alias("comp")), "jaccard-state"
             )
         pairs, lists = _list_pairs(lists, state, turn, percent)
-        good = _verified(pairs, sets, percent)
+        good = _verified(pairs, named, classes, width, percent)
         links = good if links is None else links.unionByName(good)
     drop_tables(spark, made)
 
@@ -303,25 +305,17 @@ def jaccard_groups(
     )
 
 
-def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` of the frequent shingles: all from a frequency on, found from a histogram."""
+def _most_frequent(counts: DataFrame, most: int) -> tuple[DataFrame, int | None]:
+    """At most ``most`` of the frequent shingles, all from a frequency on, and that frequency. It is
+    found from a histogram of a few hundred steps."""
     step = F.floor(F.log2("df") * 8).alias("step")
     kept, floor = 0, None
-    for row in counts.filter("df >= 8").groupBy(step).count().orderBy(F.desc("step")).collect():
-        kept += row["count"]
+    for row in counts.filter("df >= 8").groupBy(step).agg(F.count(F.lit(1)).alias("n"), F.min("df").alias("low")).orderBy(F.desc("step")).collect():
+        kept += row["n"]
         if kept > most:
             break
-        floor = row["step"]
-    return counts.filter(F.lit(False) if floor is None else (F.col("df") >= 8) & (F.floor(F.log2("df") * 8) >= floor))
-
-
-def _sets_of(state: DataFrame, named: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """The whole sets of the classes in ``state``, one each."""
-    first = stage(state.select("cls").join(classes, "cls").select(F.col("first_id").alias("doc_id")).distinct(), "jaccard-wanted")
-    texts = named.join(broadcast_if_small(first), "doc_id", "left_semi")
-    sets = texts.select("doc_id", "text").mapInArrow(lambda b: _sets(b, width), "cls long, members array<long>")
-    # Rows that share an id bring sets of other classes, or one more than once.
-    return sets.dropDuplicates(["cls"])
+        floor = row["low"]
+    return counts.filter(F.lit(False) if floor is None else F.col("df") >= floor), floor
 
 
 def _list_pairs(lists: DataFrame, state: DataFrame, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -354,11 +348,18 @@ def _list_pairs(lists: DataFrame, state: DataFrame, turn: int, percent: int) ->
     return stage(pair.distinct(), "jaccard-pairs"), rest
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity."""
-    joined = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("ma")), "a").join(
-        sets.select(F.col("cls").alias("b"), F.col("members").alias("mb")), "b"
+def _verified(pairs: DataFrame, named: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets reach the similarity. Sets are made for the classes in the pairs
+    only, and always shuffled, so that the work is alike at every size."""
+    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    first = stage(wanted.join(classes, "cls").select(F.col("first_id").alias("doc_id")).distinct(), "jaccard-wanted")
+    texts = named.join(broadcast_if_small(first), "doc_id", "left_semi")
+    # Rows that share an id bring sets of other classes, or one more than once.
+    sets = texts.select("doc_id", "text").mapInArrow(lambda b: _sets(b, width), "cls long, members array<long>")
+    joined = (
+        pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("ma")).hint("merge"), "a")
+        .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("mb")).hint("merge"), "b")
     )
     both = F.size(F.array_intersect("ma", "mb"))
     union = F.size("ma") + F.size("mb") - both
-    return stage(joined.filter(100 * both >= percent * union).select("a", "b"), "jaccard-links")
+    return stage(joined.filter(100 * both >= percent * union).select("a", "b").distinct(), "jaccard-links")
