@@ -15,7 +15,8 @@ mostly), and leaves the centre out from then on; connected sets are one componen
 left out when all its members are in one. In what remains, the members outside a list's largest
 component are compared with all others of other components. So every pair that is not in one
 component by then shares a list and is compared there, and no link between different components
-is lost. Every link is verified on the whole sets.
+is lost. A sketch of each set rules out most pairs that are far apart; every link is verified on
+the whole sets.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ COUNTED = 64
 REMEMBERED = 150_000
 #: Characters of text that a task holds as sets at once.
 SLICE = 6_000_000
+#: 64-bit words of a set's sketch.
+SKETCH = 16
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -81,6 +84,14 @@ def _digest(members: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
 
 
+def _sketch(members: np.ndarray) -> list[int]:
+    """A bit for every member, by its hash. A bit of one set that another lacks stands for a
+    member, at least, that the other lacks."""
+    bits = np.zeros(64 * SKETCH, np.uint8)
+    bits[(members >> np.uint64(40)) % np.uint64(64 * SKETCH)] = 1
+    return np.packbits(bits).view(np.int64).tolist()
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -105,11 +116,13 @@ def _profile(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         ids, texts = batch.column(0), batch.column(1)
         n = np.zeros(len(ids), np.int64)
         classes: list[int | None] = []
+        sketches: list[list[int] | None] = []
         seen: dict[int, np.ndarray] = {}
         for i, text in enumerate(texts):
             members = shingle_set(text.as_py(), hashes, width)
             n[i] = len(members)
             classes.append(_digest(members) if len(members) else None)
+            sketches.append(_sketch(members) if len(members) else None)
             if len(members):
                 seen[classes[-1]] = members
         values, counts = (
@@ -126,10 +139,11 @@ def _profile(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
                 pa.concat_arrays([ids.cast(pa.int64()), pa.nulls(k, pa.int64())]),
                 pad(n, 0, pa.int64()),
                 pad(classes, 0, pa.int64()),
+                pad(sketches, 0, pa.list_(pa.int64())),
                 pad(_signed(values[some]), 1, pa.int64()),
                 pad(counts[some].astype(np.int64), 1, pa.int64()),
             ],
-            names=["doc_id", "n", "cls", "shingle", "df"],
+            names=["doc_id", "n", "cls", "sketch", "shingle", "df"],
         )
 
 
@@ -230,12 +244,18 @@ def jaccard_groups(
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     profile = stage(
-        source.mapInArrow(lambda batches: _profile(batches, width), "doc_id long, n long, cls long, shingle long, df long"),
+        source.mapInArrow(
+            lambda batches: _profile(batches, width),
+            "doc_id long, n long, cls long, sketch array<long>, shingle long, df long",
+        ),
         "jaccard-profile",
     )
     rows = profile.filter("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "cls")
     classes = (
-        rows.dropna(subset=["doc_id", "cls"]).groupBy("cls").agg(F.min("doc_id").alias("first_id"))
+        profile.dropna(subset=["doc_id", "cls"])
+        .groupBy("cls")
+        .agg(F.min(F.struct("doc_id", "n", "sketch")).alias("f"))
+        .select("cls", F.col("f.doc_id").alias("first_id"), F.col("f.n").alias("n"), F.col("f.sketch").alias("sketch"))
     )
 
     spark = docs.sparkSession
@@ -348,9 +368,23 @@ def _list_pairs(lists: DataFrame, state: DataFrame, turn: int, percent: int) ->
     return stage(pair.distinct(), "jaccard-pairs"), rest
 
 
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches do not rule the similarity out: a set has at most as many members
+    in common with the other one as are left after the bits that the other lacks."""
+    of = lambda end: classes.select(F.col("cls").alias(end), F.col("n").alias(f"n{end}"), F.col("sketch").alias(f"s{end}"))
+
+    def lacking(one: str, other: str):
+        words = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+        return F.aggregate(words, F.lit(0), lambda total, n: total + n)
+
+    common = F.least(F.col("na") - lacking("sa", "sb"), F.col("nb") - lacking("sb", "sa"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter((100 + percent) * common >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, named: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity. Sets are made for the classes in the pairs
-    only, and always shuffled, so that the work is alike at every size."""
+    """The pairs whose whole sets reach the similarity. Sets are made for the classes in pairs that
+    their sketches leave possible, and always shuffled, so that the work is alike at every size."""
+    pairs = stage(_possible(pairs, classes, percent), "jaccard-possible")
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     first = stage(wanted.join(classes, "cls").select(F.col("first_id").alias("doc_id")).distinct(), "jaccard-wanted")
     texts = named.join(broadcast_if_small(first), "doc_id", "left_semi")
