@@ -296,6 +296,12 @@ ORACLES: dict[str, str] = {
         FROM feed WHERE val IS NOT NULL""",
         *_FEED,
     ),
+    "quarantine_replay": _sql(
+        """SELECT serial AS metername, 'M' || l_orderkey AS macid, end_text AS int_endtime, channel, val AS value,
+          l_returnflag AS uom, CASE WHEN l_linenumber <> 7 THEN 1 WHEN l_returnflag = 'R' THEN 2 ELSE 3 END AS attempt
+        FROM feed WHERE val IS NOT NULL""",
+        *_FEED,
+    ),
     "xml_corrupt_rows": """SELECT count(*) AS documents, count(*) FILTER (l_linenumber = 7) AS corrupt,
         count(*) FILTER (l_linenumber = 7) AS unnamed FROM lineitem""",
     "delimited_scan": f"""

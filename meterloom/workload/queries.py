@@ -18,7 +18,7 @@ from meterloom.plans import authoritative, interval_feed, wide_feed
 from meterloom.session import cut_lineage, scratch_path
 from meterloom.sinks import ledger, release
 from meterloom.sinks import tables as sinks
-from meterloom.sources import control, listing, tables, wide, xml
+from meterloom.sources import control, listing, quarantine, tables, wide, xml
 from meterloom.streaming import intake
 from meterloom.workload import shapes
 
@@ -145,6 +145,23 @@ def xml_corrupt_rows(spark, d):
     return xml.corrupt_rows(xml.parse_meter_xml(shapes.document_texts(spark, d, cut_last=True), "xml"))
 
 
+@query
+def quarantine_replay(spark, d):
+    """Documents of which every one of line number 7 lacks its end tag. These are kept apart; a first
+    replay mends those of returned items only, a second one the others. Each document's attempt."""
+    path, texts = scratch_path(spark, "quarantine"), shapes.document_texts(spark, d, cut_last=True)
+    returned = lambda t: F.contains(t, F.lit('UOM="R"'))
+    ended = lambda t: F.concat(t, F.lit("</MeterData>"))
+    good = [quarantine.take(texts, "xml", F.lit("feed"), path, "b1").drop("l_linenumber")]
+    good.append(quarantine.replay(spark, path, "b1", lambda t: F.when(returned(t), ended(t)).otherwise(t)))
+    good.append(quarantine.replay(spark, path, "b1", ended))
+    good.append(quarantine.replay(spark, path, "b1", ended))  # nothing is left
+    numbered = [df.withColumn("attempt", F.lit(k)) for k, df in enumerate(good, 1)]
+    return flatten.flatten_readings(audit.union_all(numbered), ("channel", "value")).select(
+        "metername", "macid", "int_endtime", "channel", "value", "uom", "attempt"
+    )
+
+
 @query
 def delimited_scan(spark, d):
     base = scratch_path(spark, "wide")

@@ -142,3 +142,30 @@ def test_stream_upsert_batches(spark, tmp_path):
         )
     assert rows(spark.read.schema(df.schema).parquet(target), "k", "v", "hdp_update_user") == [("a", 2, "info-update")]
     assert [c["insert"] for c in seen] == [1, 0]
+
+
+def test_bad_documents_are_kept_apart_and_leave_once_they_parse(spark):
+    from meterloom.session import scratch_path
+    from meterloom.sources import quarantine
+
+    path = scratch_path(spark, "quarantine")
+    good, cut, unnamed = '<MeterData MeterName="m"/>', '<MeterData MeterName="c">', '<MeterData MacID="x"/>'
+    texts = spark.createDataFrame([("f1", good), ("f1", good), ("f2", cut), ("f3", unnamed), ("f4", None), ("f5", "junk")], "file string, xml string")
+
+    def take():
+        return sorted(r._origin for r in quarantine.take(texts, "xml", F.col("file"), path, "b").collect())
+
+    assert take() == take() == ["f1", "f1"]  # a second run replaces the first
+    causes = {r.origin: (r.cause, r.text) for r in quarantine.open_entries(spark, path, "b").collect()}
+    assert causes == {"f2": ("malformed", cut), "f3": ("unnamed", unnamed), "f4": ("malformed", None), "f5": ("malformed", "junk")}
+    assert quarantine.replay(spark, path, "b").count() == 0
+    mended = quarantine.replay(spark, path, "b", lambda t: F.concat(t, F.lit("</MeterData>")))
+    assert [(r._origin, r._MeterName) for r in mended.collect()] == [("f2", "c")]
+    named = quarantine.replay(spark, path, "b", lambda t: F.replace(t, F.lit("MacID"), F.lit("MeterName")))
+    assert [(r._origin, r._MeterName) for r in named.collect()] == [("f3", "x")]
+    left = quarantine.open_entries(spark, path, "b").collect()
+    assert sorted((r.origin, r.attempt) for r in left) == [("f4", 4), ("f5", 4)]
+    assert quarantine.entries(spark, path, "b").filter("closed").count() == 2
+    with pytest.raises(ValueError, match="has been replayed"):
+        take()
+    assert quarantine.replay(spark, path, "none").count() == 0
