@@ -383,6 +383,11 @@ ORACLES: dict[str, str] = {
     "describe_target": f"""SELECT c.*, (SELECT count(*) FROM orders) AS stored_rows
         FROM (VALUES {", ".join(f"('{c}', '{spec.type_of(c)}')" for c in spec.TARGET_COLUMNS)}) AS c(col_name, data_type)""",
     "partition_profile": _sql("SELECT count(*) AS row_count FROM lineitem"),
+    "compact_files": _sql(
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, substr(l_shipdate, 1, 4) AS ship_year, TRUE AS packed
+        FROM versions""",
+        "versions",
+    ),
     "materialise_once": _sql(
         """SELECT substr(l_shipdate, 1, 7) AS month, count(*) AS row_count FROM versions_latest GROUP BY 1
         UNION ALL SELECT 'all', count(*) FROM versions_latest""",

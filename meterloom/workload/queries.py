@@ -16,7 +16,7 @@ from meterloom.operators import audit, conform, dedup, enrich, filters, flatten,
 from meterloom.operators.times import interval_times
 from meterloom.plans import authoritative, interval_feed, wide_feed
 from meterloom.session import cut_lineage, scratch_path
-from meterloom.sinks import ledger, release
+from meterloom.sinks import compaction, ledger, release
 from meterloom.sinks import tables as sinks
 from meterloom.sources import control, listing, quarantine, tables, wide, xml
 from meterloom.streaming import intake
@@ -472,6 +472,21 @@ def partition_profile(spark, d):
     return profile.agg(F.sum("row_count").alias("row_count"))
 
 
+@query
+def compact_files(spark, d):
+    """A partitioned table written by many appends, packed into files of a stated size: its rows, and
+    that no partition has more than one file below half of the size."""
+    path, target = scratch_path(spark, "appended"), 64 * 1024
+    rows = shapes.versions(spark, d).withColumn("ship_year", F.substring("l_shipdate", 1, 4))
+    for part in range(3):
+        rows.filter(F.col("l_linenumber") % 3 == part).repartition(4).write.mode("append").partitionBy("ship_year").parquet(path)
+    compaction.compact(spark, path, "ship_year", target)
+    small = compaction.file_sizes(spark, path).groupBy("folder").agg(F.count_if(F.col("length") < compaction.SMALL * target).alias("n"))
+    most = small.agg(F.max("n")).first()[0]
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return stored.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "ship_year", F.lit(most <= 1).alias("packed"))
+
+
 # --- reshaping ---------------------------------------------------------------------------
 
 

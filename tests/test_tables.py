@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from meterloom import spec
 from meterloom.operators import conform, dedup, hold, joins, merge
 from meterloom.session import scratch_path
+from meterloom.sinks import compaction
 from meterloom.sinks import tables as sinks
 
 SCHEMA = "day string, k string, v int, note string, hdp_update_user string"
@@ -266,3 +267,32 @@ def test_binned_join_without_ranges(spark):
     left = spark.createDataFrame([("m", 1)], "k string, at long")
     right = spark.createDataFrame([], "k2 string, first long, last long")
     assert joins.binned_join(left, right, {"k": "k2"}, "at", ("first", "last"), []).count() == 0
+
+
+# --- file packing ------------------------------------------------------------------------
+
+
+def test_compaction_joins_small_files_divides_large_ones_and_leaves_the_rest(spark):
+    path = scratch_path(spark, "files")
+    rows_ = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    few = rows_.filter("id < 600").withColumn("day", F.lit("007"))
+    few.repartition(12).write.mode("append").partitionBy("day").parquet(path)
+    rows_.withColumn("day", F.lit("d large")).coalesce(1).write.mode("append").partitionBy("day").parquet(path)
+    few.withColumn("day", F.lit(None).cast("string")).repartition(3).write.mode("append").partitionBy("day").parquet(path)
+    rows_.filter("id < 8000").withColumn("day", F.lit("fits")).coalesce(1).write.mode("append").partitionBy("day").parquet(path)
+    schema = "id long, v string, day string"
+    before = spark.read.schema(schema).parquet(path).collect()
+    kept = set(spark.read.schema(schema).parquet(f"{path}/day=fits").inputFiles())
+    target = 500_000
+    assert compaction.compact(spark, path, "day", target) > 0
+    after = spark.read.schema(schema).parquet(path).collect()
+    assert sorted(map(tuple, before), key=repr) == sorted(map(tuple, after), key=repr)
+    assert set(spark.read.schema(schema).parquet(f"{path}/day=fits").inputFiles()) == kept
+    sizes = {}
+    for r in compaction.file_sizes(spark, path).collect():
+        sizes.setdefault(r.folder, []).append(r.length)
+    assert len(sizes["day=007"]) == 1 and len(sizes["day=__HIVE_DEFAULT_PARTITION__"]) == 1
+    assert len(sizes["day=d%20large"] if "day=d%20large" in sizes else sizes["day=d large"]) > 1
+    for listed in sizes.values():
+        assert max(listed) <= compaction.LARGE * target and sum(x < compaction.SMALL * target for x in listed) <= 1
+    assert compaction.compact(spark, path, "day", target) == 0  # nothing is left to do
