@@ -251,11 +251,12 @@ def jaccard_groups(
         "jaccard-profile",
     )
     rows = profile.filter("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "cls")
-    classes = (
+    classes = stage(
         profile.dropna(subset=["doc_id", "cls"])
         .groupBy("cls")
         .agg(F.min(F.struct("doc_id", "n", "sketch")).alias("f"))
-        .select("cls", F.col("f.doc_id").alias("first_id"), F.col("f.n").alias("n"), F.col("f.sketch").alias("sketch"))
+        .select("cls", F.col("f.doc_id").alias("first_id"), F.col("f.n").alias("n"), F.col("f.sketch").alias("sketch")),
+        "jaccard-classes",
     )
 
     spark = docs.sparkSession
