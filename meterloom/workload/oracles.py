@@ -344,6 +344,7 @@ ORACLES: dict[str, str] = {
     "merge_update_only": _sql(_merge("update"), *_MERGE_CTES),
     "merge_insert_only": _sql(_merge("insert"), *_MERGE_CTES),
     "stream_upsert": _sql(_merge("upsert"), *_MERGE_CTES),
+    "merge_bucketed": _sql(_merge("upsert"), *_MERGE_CTES),
     "upsert_replay": _sql(_merge("upsert"), *_MERGE_CTES),
     "upsert_ledger": _sql(
         f"""SELECT s.l_orderkey % 2 AS batch_id, 'done' AS state, count(t.l_orderkey) AS updated,

@@ -16,7 +16,7 @@ from meterloom.operators import audit, conform, dedup, enrich, filters, flatten,
 from meterloom.operators.times import interval_times
 from meterloom.plans import authoritative, interval_feed, wide_feed
 from meterloom.session import cut_lineage, scratch_path
-from meterloom.sinks import compaction, ledger, release
+from meterloom.sinks import colocated, compaction, ledger, release
 from meterloom.sinks import tables as sinks
 from meterloom.sources import control, listing, quarantine, tables, wide, xml
 from meterloom.streaming import intake
@@ -324,6 +324,20 @@ def merge_upsert(spark, d):
     return _read_target(spark, d, path)
 
 
+@query
+def merge_bucketed(spark, d):
+    """The merge into a target kept in buckets of its key: the rows of ``merge_upsert``, the
+    source merged in two parts by month."""
+    name = f"meterloom_bucketed_{uuid.uuid4().hex}"
+    target, source = (shapes.merge_input(spark, d, side) for side in ("target", "source"))
+    colocated.create_bucketed(spark, name, scratch_path(spark, "bucketed"), target.schema, "ship_month", shapes.MERGE_LINE_KEYS, 8)
+    colocated.load_bucketed(target, name)
+    early = F.col("ship_month") < "1998-10"
+    for half in (source.filter(early), source.filter(~early)):
+        colocated.merge_colocated(spark, half, name, shapes.MERGE_LINE_KEYS, MERGE_SET, order=["l_partkey"])
+    return tables.read_table(spark, name).select(*_merge_columns())
+
+
 class _CutOff(Exception):
     pass
 
