@@ -10,12 +10,15 @@ from pyspark.sql import types as T
 
 from meterloom import spec
 
+#: Field for the text of an element that has attributes or children too.
+VALUE_TAG = "_text_content"
+
 
 def _options(mode: str, timezone: str | None) -> dict[str, str]:
     options = {
         "rowTag": spec.ROW_TAG,
         "attributePrefix": "_",
-        "valueTag": "_text_content",
+        "valueTag": VALUE_TAG,
         "nullValue": "",
         "ignoreNamespace": "true",
         "mode": mode,
@@ -39,6 +42,7 @@ def read_meter_xml(
     mode: str = "PERMISSIVE",
     schema: str | T.StructType | None = None,
     infer: bool = False,
+    share: float | None = None,
     part_date: str | None = None,
     timezone: str | None = None,
     recursive: bool = False,
@@ -49,13 +53,16 @@ def read_meter_xml(
     ``paths`` is a list of files, folders or globs, all read by one scan; gzip is recognised by
     suffix. A gzip file cannot be split, so it is one task: ``spread`` redistributes the parsed
     documents over that many partitions. ``infer=True`` lets Spark derive the structure from
-    the files; leaves stay text, so that a meter name keeps its leading zeros.
+    the files, or from a ``share`` of the documents; leaves stay text, so that a meter name keeps
+    its leading zeros.
     """
     reader = spark.read.format("xml").options(**_options(mode, timezone)).option("rowTag", row_tag)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if infer:
         reader = reader.option("inferSchema", "false")
+        if share is not None:
+            reader = reader.option("samplingRatio", str(share))
     else:
         reader = reader.schema(schema or document_schema(mode))
     listed = [paths] if isinstance(paths, str) else list(paths)

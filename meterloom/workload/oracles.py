@@ -290,6 +290,13 @@ ORACLES: dict[str, str] = {
         WHERE rawvalue IS NOT NULL AND val IS NOT NULL GROUP BY channel""",
         "feed0",
     ),
+    "structure_versions": _sql(
+        """SELECT serial AS metername, CASE WHEN l_linenumber % 2 = 1 THEN 'M' || l_orderkey END AS macid,
+          CASE WHEN l_linenumber % 2 = 0 THEN 'U' || l_partkey END AS utildeviceid,
+          CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE 2 END AS blocks, 2 AS version
+        FROM feed0""",
+        "feed0",
+    ),
     "xml_from_text": _sql(
         """SELECT serial AS metername, 'M' || l_orderkey AS macid, len::VARCHAR AS intervallength,
           block_text AS blockstarttime, end_text AS int_endtime, channel, rawvalue, val AS value, l_returnflag AS uom

@@ -18,7 +18,7 @@ from meterloom.plans import authoritative, interval_feed, wide_feed
 from meterloom.session import cut_lineage, scratch_path
 from meterloom.sinks import colocated, compaction, ledger, release
 from meterloom.sinks import tables as sinks
-from meterloom.sources import control, listing, quarantine, tables, wide, xml
+from meterloom.sources import control, listing, quarantine, structures, tables, wide, xml
 from meterloom.streaming import intake
 from meterloom.workload import shapes
 
@@ -132,6 +132,27 @@ def xml_infer(spark, d):
     )
 
 
+@query
+def structure_versions(spark, d):
+    """Two feeds read as one by their registered structure. The first lacks a column that the
+    second has, and the other way round; its documents have one block, so that it is no array there.
+    The first feed's next delivery brings nothing new."""
+    state, bases = scratch_path(spark, "structures"), [scratch_path(spark, "xml") for _ in range(2)]
+    documents = shapes.documents(spark, d)
+    single = F.size("IntervalReadData") == 1
+    xml.write_meter_xml(documents.filter(single).drop("_UtilDeviceID"), bases[0])
+    xml.write_meter_xml(documents.filter(~single).drop("_MacID"), bases[1])
+    for base in (*bases, bases[0]):
+        known = structures.register(spark, state, base, structures.infer(spark, base))
+    return structures.read_registered(spark, bases, state).select(
+        F.col("_MeterName").alias("metername"),
+        F.col("_MacID").alias("macid"),
+        F.col("_UtilDeviceID").alias("utildeviceid"),
+        F.size("IntervalReadData").alias("blocks"),
+        F.lit(known.version).alias("version"),
+    )
+
+
 @query
 def xml_from_text(spark, d):
     documents = xml.parse_meter_xml(shapes.document_texts(spark, d), "xml")
