@@ -496,6 +496,11 @@ ORACLES: dict[str, str] = {
         *_FEED,
         "uom",
     ),
+    "lookup_history": f"""SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate::DATE::VARCHAR AS day,
+          'u' || (s_nationkey + CASE WHEN s_suppkey % 3 = 0 THEN n ELSE 0 END) AS unit
+        FROM (SELECT *, CASE WHEN l_shipdate::DATE < DATE '{q.LOOKUP_DAYS[1]}' THEN 0
+          WHEN l_shipdate::DATE < DATE '{q.LOOKUP_DAYS[2]}' THEN 1 ELSE 2 END AS n FROM lineitem)
+        LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_suppkey % 5 <> n""",
     "assignment_join": _sql(f"SELECT {_ASSIGNED} FROM feed f LEFT JOIN owned a ON {_VALID}", *_FEED, *_OWNED),
     "assignment_join_binned": _sql(f"SELECT {_ASSIGNED} FROM feed f LEFT JOIN owned a ON {_VALID}", *_FEED, *_OWNED),
     "open_orders": """

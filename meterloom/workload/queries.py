@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from meterloom import spec
 from meterloom.functions import numbers, text
 from meterloom.functions import times as t
-from meterloom.operators import audit, conform, dedup, enrich, filters, flatten, hold, joins, merge
+from meterloom.operators import audit, conform, dedup, enrich, filters, flatten, history, hold, joins, merge
 from meterloom.operators.times import interval_times
 from meterloom.plans import authoritative, interval_feed, wide_feed
 from meterloom.session import cut_lineage, scratch_path
@@ -30,6 +30,8 @@ PART_DATE = "20260101"
 BATCH_START, BATCH_END = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
 READY_START, READY_END = "2024-01-10 00:00:00", "2024-01-10 12:00:00"
 READ_MONTHS = ["1998-07", "1998-11", "1999-02"]
+#: Days from which the states of the tracked lookup hold.
+LOOKUP_DAYS = ["1995-01-01", "1998-01-01", "2000-01-01"]
 #: Hours after which a kept event's key is forgotten.
 FORGET_HOURS = 48
 #: Folders that arriving files are dealt to; one of them is never marked as ready.
@@ -631,6 +633,22 @@ _ASSIGNED = [
 ]
 
 
+@query
+def lookup_history(spark, d):
+    """Lines with their supplier's unit as it was on the ship day. Three states of the lookup are entered,
+    the last of them twice: each lacks other suppliers, and in each some have another unit."""
+    state, number = scratch_path(spark, "lookup"), F.col("s_suppkey")
+    for n in (0, 1, 2, 2):
+        unit = F.concat(F.lit("u"), (F.col("s_nationkey") + F.when(number % 3 == 0, n).otherwise(0)).cast("string"))
+        snapshot = shapes.table(spark, d, "supplier").filter(number % 5 != n).select("s_suppkey", unit.alias("unit"))
+        versions = history.enter(spark, state, snapshot, dt.date.fromisoformat(LOOKUP_DAYS[n]))
+    lines = shapes.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", F.col("l_shipdate").cast("date").alias("day")
+    )
+    found = history.join_as_of(lines, versions, {"l_suppkey": "s_suppkey"}, "day", ["l_orderkey", "l_linenumber"])
+    return found.select("l_orderkey", "l_linenumber", "l_suppkey", F.col("day").cast("string").alias("day"), "unit")
+
+
 @query
 def assignment_join(spark, d):
     return enrich.assignment_join(_plain_readings(spark, d), _bounded(spark, d)).select(*_ASSIGNED)
