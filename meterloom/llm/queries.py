@@ -14,6 +14,7 @@ from meterloom.llm import (
     jaccard,
     merkle,
     mixing,
+    oracles,
     packing,
     secret_scan,
     sorted_projection,
@@ -154,7 +155,6 @@ QUERIES = {
     "op12_vector_best_fit": op12_vector_best_fit,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
-#: None of these can be written as one SQL statement for another engine (trained models,
-#: iteration to a fixed point, tokenizer merges, Spark's own hash); tests/llm holds them
-#: against brute force.
-ORACLES: dict[str, str] = {}
+#: The others cannot be written as one SQL statement for another engine (trained models, tokenizer
+#: merges, factorisations, trees of digests); tests/llm holds them against brute force.
+ORACLES: dict[str, str] = oracles.ORACLES
