@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -52,47 +52,88 @@ def keep_first(stream: DataFrame, keys: Sequence[str], event_time: str, delay: s
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+#: Groups that the keys of ``keep_first_for`` are dealt to. Python is called once for each of them
+#: and batch, not once for each key.
+KEY_GROUPS = 256
+
+
+def _key_text(field: T.StructField) -> Column:
+    """A text that two values have in common if and only if they are one key."""
+    kind, c = field.dataType, F.col(field.name)
+    if isinstance(kind, T.TimestampType):
+        c = F.unix_micros(c)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        c = c + F.lit(0).cast(kind)  # minus zero is zero
+    elif isinstance(kind, T.BinaryType):
+        c = F.hex(c)
+    elif isinstance(kind, (T.StructType, T.ArrayType, T.VariantType)):
+        c = F.to_json(F.struct(c))
+    text = c.cast("string")
+    return F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))
+
+
 def keep_first_for(
-    stream: DataFrame, keys: Sequence[str], event_time: str, forget: str, lateness: str = "0 seconds"
+    stream: DataFrame,
+    keys: Sequence[str],
+    event_time: str,
+    forget: str,
+    lateness: str = "0 seconds",
+    groups: int = KEY_GROUPS,
 ) -> DataFrame:
     """The first row of each key, whole, and the first again once ``forget`` has passed since the
     row that was kept: a row is kept if no row of its key was kept in the time ``forget`` before it.
 
-    The state of a key is the time of its kept row. A timer drops it when the watermark (the
-    latest time seen less ``lateness``) has passed the time by ``forget``, so state holds the
-    keys of that span only. Within a batch rows are taken by time, then by their other columns;
-    rows that arrive behind the watermark are dropped and counted (``late_rows``). A key's rows
-    of one batch are sorted in one task's memory, which the size of a batch bounds. Rows without
-    a time have no place in the order and are dropped; null keys are a key.
+    Keys are dealt to ``groups`` groups, and the state of a group is the time of each of its keys'
+    kept rows. A timer drops a key when the watermark (the latest time seen less ``lateness``) has
+    passed that time by ``forget``, so state holds the keys of that span only. Within a batch rows
+    are taken by time, then by their other columns; rows that arrive behind the watermark are
+    dropped and counted (``late_rows``). A group's rows of one batch are sorted in one task's
+    memory, which the size of a batch and the number of groups bound; that number stays as it is
+    for the life of a checkpoint. Rows without a time have no place in the order and are dropped;
+    null keys are a key.
     """
-    spark = stream.sparkSession
     columns = stream.columns
-    span = pd.Timedelta(forget)
-    order = [event_time, *[c for c in columns if c != event_time]]
+    span = pd.Timedelta(forget).value // 1000
+    # Whole numbers travel without nulls, which pandas could hold only as floats.
+    whole = [f.name for f in stream.schema if isinstance(f.dataType, T.IntegralType)]
+    sent = [x for c in columns for x in ((f"_there_{c}", c) if c in whole else (c,))]
+    order = ["_at", *[c for c in sent if c != event_time]]
 
     def step(key: tuple, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(batches)).sort_values(order, kind="stable", na_position="first")
-        kept = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        chosen = []
-        for place, at in enumerate(rows[event_time]):
-            if kept is None or at > kept + span:
-                chosen.append(place)
-                kept = at
-        state.update((kept.value // 1000,))
-        gone = (kept + span).value // 1_000_000 + 1
-        if gone > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(gone)
-        else:
+        known = dict(zip(*state.get, strict=True)) if state.exists else {}
+        chosen = None
+        if not state.hasTimedOut:
+            rows = pd.concat(list(batches)).sort_values(order, kind="stable", na_position="first")
+            places = []
+            for place, (name, at) in enumerate(zip(rows["_key"].tolist(), rows["_at"].tolist(), strict=True)):
+                kept = known.get(name)
+                if kept is None or at > kept + span:
+                    places.append(place)
+                    known[name] = at
+            chosen = rows.iloc[places][sent]
+        watermark = state.getCurrentWatermarkMs()
+        left = {name: at for name, at in known.items() if (at + span) // 1000 + 1 > watermark}
+        if left:
+            state.update((list(left), list(left.values())))
+            state.setTimeoutTimestamp((min(left.values()) + span) // 1000 + 1)
+        elif state.exists:
             state.remove()
-        if chosen:
-            yield rows.iloc[chosen][columns]
+        if chosen is not None and len(chosen):
+            yield chosen
 
+    fields = {f.name: f for f in stream.schema}
     timed = stream.filter(F.col(event_time).isNotNull()).withWatermark(event_time, lateness)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
-    return timed.groupBy(*keys).applyInPandasWithState(step, schema, "kept long", "append", "EventTimeTimeout")
+    dealt = timed.select(
+        *[F.coalesce(c, F.lit(0).cast(fields[c].dataType)).alias(c) if c in whole else F.col(c) for c in columns],
+        *[F.col(c).isNotNull().alias(f"_there_{c}") for c in whole],
+        F.unix_micros(event_time).alias("_at"),
+        F.concat(*[_key_text(fields[k]) for k in keys]).alias("_key"),
+    ).withColumn("_group", F.pmod(F.xxhash64("_key"), F.lit(groups)))
+    schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString() if c in fields else 'boolean'}" for c in sent)
+    kept = dealt.groupBy("_group").applyInPandasWithState(
+        step, schema, "keys array<string>, kept array<long>", "append", "EventTimeTimeout"
+    )
+    return kept.select(*[F.when(F.col(f"_there_{c}"), F.col(c)).alias(c) if c in whole else F.col(c) for c in columns])
 
 
 def late_rows(query: StreamingQuery) -> int:

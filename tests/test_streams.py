@@ -55,3 +55,20 @@ def test_kept_rows_do_not_depend_on_how_rows_are_dealt_to_batches(spark):
         intake.run_once(intake.keep_first_for(stream, ["k"], "at", "1 days"), out, checkpoint)
         found.append(rows(spark.read.schema(data.schema).parquet(out), "k", "n"))
     assert found[0] == found[1] and 13 < len(found[0]) < 600
+
+
+def test_keys_share_calls_and_whole_numbers_stay_exact_beside_nulls(spark):
+    """A thousand keys in four groups: Python is called for groups, and no key takes another's place."""
+    big = (1 << 53) + 1
+    data = spark.range(1000).select(
+        F.when(F.col("id") % 100 != 7, F.lit(big) + F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 != 0, F.lit(big) + F.col("id")).alias("n"),
+        F.timestamp_seconds(F.col("id") * 60 + 86400).alias("at"),
+    )
+    arriving, out, checkpoint = (scratch_path(spark, n) for n in ("arriving", "out", "cp"))
+    data.coalesce(1).write.parquet(arriving)
+    stream = intake.stream_parquet(spark, arriving, data.schema)
+    last = intake.run_once(intake.keep_first_for(stream, ["k"], "at", "30 days", groups=4), out, checkpoint)
+    expected = [(None if i % 100 == 7 else big + i, big + i if i % 3 else None) for i in range(1000) if i % 100 != 7 or i == 7]
+    assert rows(spark.read.schema(data.schema).parquet(out), "k", "n") == sorted(expected, key=repr)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in last.recentProgress if p["stateOperators"]) <= 4
