@@ -93,12 +93,25 @@ def corrupt_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def write_meter_xml(documents: DataFrame, path: str, compression: str | None = None) -> None:
+#: Documents in one written file. A file is read by one task, whether it is compressed or not, so
+#: this and not the size of the feed bounds a task, and small files are even work for all cores.
+FILE_DOCUMENTS = 1_000_000
+
+
+def write_meter_xml(
+    documents: DataFrame,
+    path: str,
+    compression: str | None = "gzip",
+    file_documents: int = FILE_DOCUMENTS,
+) -> None:
+    """Documents as XML files of at most ``file_documents`` each, compressed unless ``compression``
+    is None."""
     writer = (
         documents.write.format("xml")
         .option("rowTag", spec.ROW_TAG)
         .option("rootTag", "MeterFeed")
         .option("attributePrefix", "_")
+        .option("maxRecordsPerFile", str(file_documents))
         .mode("errorifexists")
     )
     (writer.option("compression", compression) if compression else writer).save(path)

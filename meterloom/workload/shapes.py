@@ -3,9 +3,10 @@
 Every shape is made row by row or by aggregates that combine before the shuffle; none gathers
 a group. Times are moved 20 years ahead so that the date floors fall inside the data.
 
-Meter documents and wide records are landed: Spark writes them once per session and table
-folder as Parquet into the shared scratch folder, and the queries scan those files, as they
-would scan a feed that has arrived.
+Meter documents and wide records can be landed: Spark writes them once per session and table
+folder as Parquet into the shared scratch folder, and what reads them more than once scans those
+files, as it would scan a feed that has arrived. What reads documents once takes them as they are
+made (``arriving``).
 """
 
 from __future__ import annotations
@@ -52,28 +53,33 @@ def _local_text(epoch: str) -> Column:
 def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per lineitem row, as texts. Ends fall on 06:00 UTC of the first of a month;
     two of those are minutes after the clocks went back. Readings of one supplier, month,
-    channel and unit are versions of each other."""
-    shifted = F.add_months(F.col("l_shipdate").cast("date"), 12 * 20)
+    channel and unit are versions of each other. The texts of times are made once for each ship
+    day, of which there are few, and broadcast."""
+    lines = lineitem(spark, sf_dir)
+    shifted = F.add_months(F.col("day"), 12 * 20)
     end_day = F.date_add(F.last_day(shifted), 1)
-    by_length = F.col("l_linenumber") % 3
-    return (
-        _spread(lineitem(spark, sf_dir))
+    days = (
+        lines.select(F.col("l_shipdate").cast("date").alias("day"))
+        .distinct()
         .withColumn("end", (F.unix_date(end_day).cast("long") * 24 + 6) * 3600)
         .withColumn("block_start", F.col("end") - 86400)
         .select(
             "*",
-            serial("l_suppkey").alias("serial"),
-            channel().alias("channel"),
-            F.when(by_length == 0, "15").when(by_length == 1, "30").otherwise("60").alias("length"),
             _local_text("end").alias("end_text"),
             _local_text("block_start").alias("block_start_text"),
             F.concat(shifted.cast("string"), F.lit("T00:00:00Z")).alias("collected_text"),
-            F.when(F.col("l_tax") != 0, F.col("l_quantity").cast("string")).alias("raw_text"),
-            F.when(F.col("l_discount") == 0, "n/a")
-            .otherwise(F.col("l_extendedprice").cast("string"))
-            .alias("value_text"),
         )
     )
+    by_length = F.col("l_linenumber") % 3
+    dated = _spread(lines).join(F.broadcast(days), F.col("l_shipdate").cast("date") == F.col("day"), "left").drop("day")
+    return dated.select(
+        "*",
+        serial("l_suppkey").alias("serial"),
+        channel().alias("channel"),
+        F.when(by_length == 0, "15").when(by_length == 1, "30").otherwise("60").alias("length"),
+        F.when(F.col("l_tax") != 0, F.col("l_quantity").cast("string")).alias("raw_text"),
+        F.when(F.col("l_discount") == 0, "n/a").otherwise(F.col("l_extendedprice").cast("string")).alias("value_text"),
+    )
 
 
 _LANDED: dict[tuple[str, str, str], str] = {}
@@ -99,6 +105,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _land(spark, sf_dir, "documents", make_documents)
 
 
+def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents, for a flow that reads them once: handed on as they are made. They pass a
+    generator, so that the optimizer does not copy their making into later filters."""
+    made = make_documents(spark, sf_dir)
+    return made.select(F.inline(F.array(F.struct(*made.columns))))
+
+
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _land(spark, sf_dir, "wide", wide_rows)
 
