@@ -388,8 +388,12 @@ ORACLES: dict[str, str] = {
         FROM ({_target(spec.TARGET_COLUMNS, "latest", _FLOAT_COLUMNS, pick=True)})""",
         *_SOURCE, "latest", *_OWNED,
     ),
-    "describe_target": f"""SELECT c.*, (SELECT count(*) FROM orders) AS stored_rows
+    "describe_target": _sql(
+        f"""SELECT c.*, (SELECT count(*) FROM latest) AS stored_rows
         FROM (VALUES {", ".join(f"('{c}', '{spec.type_of(c)}')" for c in spec.TARGET_COLUMNS)}) AS c(col_name, data_type)""",
+        *_SOURCE,
+        "latest",
+    ),
     "partition_profile": _sql("SELECT count(*) AS row_count FROM lineitem"),
     "compact_files": _sql(
         """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, substr(l_shipdate, 1, 4) AS ship_year, TRUE AS packed
