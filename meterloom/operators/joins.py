@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -138,3 +138,47 @@ def binned_join(
     pairs = {**keys, "_ask": "_level", "_at": "_cell"}
     joined = lookup_join(asked, entered, pairs, [at, *spread], how="inner", residual=inside, **sizes)
     return joined.drop("_ask", "_at", "_level", "_cell")
+
+
+def covering_totals(
+    left: DataFrame,
+    lookup: DataFrame,
+    keys: dict[str, str],
+    at: str,
+    bounds: tuple[str, str],
+    total: str,
+    names: tuple[str, str] = ("covering", "covering_total"),
+) -> DataFrame:
+    """Rows of ``left`` with how many rows of ``lookup`` (for equal keys) have a closed range
+    ``bounds`` of seconds that holds ``at``, and the sum of their whole-number column ``total``.
+    Inner, as ``binned_join``, whose pairs it counts without making them.
+
+    A range adds at its first second and takes away after its last one; running sums over these
+    steps, one for each key and second that occurs, are what a row finds at its own second. So
+    work grows with rows and ranges, not with the pairs, which grow with the square of a key's rows.
+    """
+    first, last = (F.col(b) for b in bounds)
+    count, summed = names
+    mine, ranged = list(keys), list(keys.values())
+    by = [f"_key_{i}" for i in range(len(mine))]
+    step = F.inline(
+        F.array(
+            F.struct(first.alias("_second"), F.lit(1).cast("long").alias("_n"), F.col(total).cast("long").alias("_sum")),
+            F.struct(
+                (last + 1).alias("_second"), F.lit(-1).cast("long").alias("_n"), (-F.col(total).cast("long")).alias("_sum")
+            ),
+        )
+    )
+    nothing = F.lit(0).cast("long")
+    steps = lookup.filter(first <= last).select(*[F.col(c).alias(b) for c, b in zip(ranged, by, strict=True)], step)
+    asked = left.filter(F.col(at).isNotNull()).select(
+        *[F.col(c).alias(b) for c, b in zip(mine, by, strict=True)], F.col(at).alias("_second"), nothing.alias("_n"), nothing.alias("_sum")
+    )
+    places = steps.unionByName(asked).dropna(subset=by).groupBy(*by, "_second").agg(
+        F.sum("_n").alias("_n"), F.coalesce(F.sum("_sum"), nothing).alias("_sum")
+    )
+    until = Window.partitionBy(*by).orderBy("_second").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = places.select(*by, "_second", F.sum("_n").over(until).alias(count), F.sum("_sum").over(until).alias(summed))
+    found = running.filter(F.col(count) > 0)
+    on = [F.col(c) == F.col(b) for c, b in zip(mine, by, strict=True)]
+    return left.join(found, [*on, F.col(at) == F.col("_second")]).drop(*by, "_second")

@@ -7,6 +7,7 @@ from pathlib import Path
 from conftest import rows
 from pyspark.sql import functions as F
 
+from meterloom.operators import joins
 from meterloom.session import scratch_path
 from meterloom.sources import xml
 from meterloom.workload import queries, shapes
@@ -25,3 +26,28 @@ def test_xml_files_are_compressed_and_hold_a_bounded_number_of_documents(spark):
 def test_the_described_target_stores_what_the_whole_flow_yields(spark):
     stored = {r["stored_rows"] for r in queries.QUERIES["describe_target"](spark, SF_DIR).collect()}
     assert stored == {queries.QUERIES["consume_view"](spark, SF_DIR).count()}
+
+
+def test_totals_over_covering_ranges_make_no_pairs(spark):
+    ranges = spark.createDataFrame(
+        [("a", 1, 10, 20), ("a", 2, 20, 30), ("a", 4, 40, 35), ("a", 8, None, 50), ("b", 16, 0, 99), (None, 32, 0, 99)],
+        "owner string, n long, first long, last long",
+    )
+    points = spark.createDataFrame(
+        [(1, "a", 9), (2, "a", 10), (3, "a", 20), (3, "a", 20), (4, "a", 30), (5, "a", 31), (6, "a", 38), (7, "b", 99), (8, None, 5), (9, "a", None)],
+        "p long, k string, at long",
+    )
+    found = joins.covering_totals(points, ranges, {"k": "owner"}, "at", ("first", "last"), "n")
+    assert rows(found, "p", "covering", "covering_total") == [(2, 1, 1), (3, 2, 3), (3, 2, 3), (4, 1, 2), (7, 1, 16)]
+    pairs = joins.binned_join(points.withColumn("at", F.col("at")), ranges, {"k": "owner"}, "at", ("first", "last"), ["p"])
+    counted = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("s"))
+    summed = found.groupBy("p").agg(F.sum("covering").alias("n"), F.sum("covering_total").alias("s"))
+    assert rows(counted, "p", "n", "s") == rows(summed, "p", "n", "s")
+
+
+def test_a_key_with_many_ranges_needs_work_in_proportion(spark):
+    """Every one of 20,000 ranges holds every one of 20,000 seconds: 400 million pairs."""
+    ranges = spark.range(20_000).select(F.lit(1).alias("owner"), "id", F.lit(0).cast("long").alias("first"), F.lit(1 << 40).alias("last"))
+    points = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("at"))
+    found = joins.covering_totals(points, ranges, {"k": "owner"}, "at", ("first", "last"), "id")
+    assert rows(found.select("covering", "covering_total").distinct()) == [(20_000, 199_990_000)]
