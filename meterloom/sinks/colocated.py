@@ -28,6 +28,15 @@ from meterloom.sinks.tables import overwrite_staging, replace_partitions
 NAMED = 10_000
 
 
+#: Rows of a target that one bucket is meant for. A bucket is one task, so this bounds its memory.
+BUCKET_ROWS = 1_000_000
+
+
+def buckets_for(rows: int, least: int = 8, bucket_rows: int = BUCKET_ROWS) -> int:
+    """The number of buckets for a target of so many rows."""
+    return max(least, -(-rows // bucket_rows))
+
+
 @dataclass(frozen=True)
 class Layout:
     """How a table is bucketed and partitioned."""

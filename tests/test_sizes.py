@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterloom.operators import joins
 from meterloom.session import scratch_path
+from meterloom.sinks import colocated
 from meterloom.sources import xml
 from meterloom.workload import queries, shapes
 
@@ -51,3 +52,7 @@ def test_a_key_with_many_ranges_needs_work_in_proportion(spark):
     points = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("at"))
     found = joins.covering_totals(points, ranges, {"k": "owner"}, "at", ("first", "last"), "id")
     assert rows(found.select("covering", "covering_total").distinct()) == [(20_000, 199_990_000)]
+
+
+def test_buckets_follow_the_rows():
+    assert [colocated.buckets_for(n) for n in (0, 600_000, 8_000_001, 216_000_000)] == [8, 8, 9, 216]
