@@ -34,7 +34,7 @@ from meterloom.llm.common import bounded_batches, stage_bucketed
 
 #: Characters of text after which a block is closed. A task holds a block's pieces, words and
 #: positions, about 25 bytes for each of its characters.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 #: Distinct words that one encoding group should hold.
 GROUP_WORDS = 400_000
 #: A space before white space or the end: only then can a token reach over a space.
@@ -52,7 +52,8 @@ class _Splitter:
 
     A single space between two other characters always starts a token, so texts are cut there
     and every distinct piece is matched against the pattern once. Texts with a space next to
-    other white space are matched as a whole.
+    other white space are matched as a whole. Nothing refers back to it, so a block's words and
+    pieces are freed with it, not when Python next looks for cycles.
     """
 
     def __init__(self, pattern: str):
@@ -60,18 +61,14 @@ class _Splitter:
 
         self.find = regex.compile(pattern).findall
         self.words: dict[str, int] = {}
-        self.pieces = _Pieces(self)
-
-    def of_words(self, words: list[str]) -> list[int]:
-        known = self.words
-        return [known.setdefault(w, len(known)) for w in words]
+        self.pieces = _Pieces(self.words, self.find)
 
     def read(self, text: str) -> tuple[np.ndarray, np.ndarray | None]:
         """Positions of the text's beginning, numbers of the pieces after it."""
         if not text or _AWKWARD.search(text):
-            return np.array(self.of_words(self.find(text)), np.int32), None
+            return np.array(_positions(self.words, self.find(text)), np.int32), None
         head, *rest = text.split(" ")
-        return np.array(self.of_words(self.find(head)), np.int32), np.fromiter(
+        return np.array(_positions(self.words, self.find(head)), np.int32), np.fromiter(
             map(self.pieces.__getitem__, rest), np.int32, len(rest)
         )
 
@@ -84,14 +81,18 @@ class _Splitter:
                 yield np.concatenate([head, flat[_ranges(ends[index], ends[index + 1] - ends[index])]])
 
 
+def _positions(known: dict[str, int], words: list[str]) -> list[int]:
+    return [known.setdefault(w, len(known)) for w in words]
+
+
 class _Pieces(dict):
     """Number of a piece (text after a space); ``flat`` has the positions of all pieces in turn."""
 
-    def __init__(self, owner: _Splitter):
-        self.owner, self.flat, self.ends = owner, array("i"), array("q", [0])
+    def __init__(self, words: dict[str, int], find):
+        self.words, self.find, self.flat, self.ends = words, find, array("i"), array("q", [0])
 
     def __missing__(self, piece: str) -> int:
-        self.flat.extend(self.owner.of_words(self.owner.find(" " + piece)))
+        self.flat.extend(_positions(self.words, self.find(" " + piece)))
         self.ends.append(len(self.flat))
         number = self[piece] = len(self.ends) - 2
         return number
@@ -150,8 +151,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, parts: int) -> Iter
 
 
 def _block(split: _Splitter, ids: list[int | None], read: list, parts: int) -> pa.RecordBatch:
-    words = [w.encode() for w in split.words]
     docs = list(split.positions(read))
+    words = [w.encode() for w in split.words]
     times = np.zeros(len(words), np.int64)
     for d in docs:
         times += np.bincount(d, minlength=len(words))

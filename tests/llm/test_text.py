@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 import re
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -337,3 +339,17 @@ def test_terms_of_copies_and_far_from_the_mention_are_found(spark):
     found = {(r.doc_id, r.value) for r in disclosure.spans(frame).filter("kind = 'term'").collect()}
     assert {(1000 + k, "zorblatt") for k in range(30)} <= found and {(2000, "quuxley"), (2001, "quuxley")} <= found
     assert not {v for _, v in found} & {"uncle", "common", "plain", "words"}
+
+
+def test_bpe_frees_a_block_when_it_is_closed(monkeypatch):
+    """Without waiting for Python to look for cycles, so that a task holds one block at a time."""
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 100)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": ["some words " * 10] * 4})
+    held = lambda: sum(isinstance(o, bpe._Splitter) for o in gc.get_objects())
+    gc.collect()
+    gc.disable()
+    try:
+        blocks = sum(1 for _ in bpe._blocks(iter([batch]), public_tokenizers.PATTERN, 2))
+        assert (blocks, held()) == (4, 0)
+    finally:
+        gc.enable()
