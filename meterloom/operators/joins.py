@@ -103,6 +103,10 @@ def cell_at(at: Column, level: Column, cell: int = CELL, wider: int = WIDER, lev
     return number
 
 
+#: Ranges up to which a key has one cell, all of time: entering a range in cells makes as many rows.
+FEW_RANGES = 32
+
+
 def binned_join(
     left: DataFrame,
     lookup: DataFrame,
@@ -113,6 +117,7 @@ def binned_join(
     cell: int = CELL,
     wider: int = WIDER,
     levels: int = LEVELS,
+    few: int = FEW_RANGES,
     **sizes,
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``lookup`` whose closed range ``bounds`` holds ``at``, for
@@ -122,22 +127,41 @@ def binned_join(
     cells; a row asks one cell of each level that occurs. So it is compared with ranges that
     reach into its own cell only, not with all of its key, and as a range of a level is longer
     than a cell of it (the smallest level aside), few of these do not hold it.
+
+    A key with at most ``few`` ranges has one cell for all of time: its ranges are entered once and
+    its rows ask once. Only rows of the other keys are copied for each level.
     """
     first, last = (F.col(b) for b in bounds)
-    entered = lookup.withColumn("_in", F.explode(cells_of(first, last, cell, wider, levels))).select(
-        *lookup.columns, F.col("_in.level").alias("_level"), F.col("_in.cell").alias("_cell")
+    inside = F.col(at).between(first, last)
+    own = list(keys.values())
+    ranges = lookup.filter(first <= last).dropna(subset=own)
+    dense = ranges.groupBy(*own).agg(F.count(F.lit(1)).alias("_ranges")).filter(F.col("_ranges") > few)
+    dense = dense.select(*[F.col(c).alias(f"_dense_{i}") for i, c in enumerate(own)])
+    if dense.isEmpty():
+        return lookup_join(left, ranges, keys, [at, *spread], how="inner", residual=inside, **sizes)
+
+    def of_dense(columns: Sequence[str], how: str) -> tuple:
+        return dense, [F.col(c) == F.col(f"_dense_{i}") for i, c in enumerate(columns)], how
+
+    entered = (
+        ranges.join(*of_dense(own, "left_semi"))
+        .withColumn("_in", F.explode(cells_of(first, last, cell, wider, levels)))
+        .select(*lookup.columns, F.col("_in.level").alias("_level"), F.col("_in.cell").alias("_cell"))
     )
     # At most levels + 1 numbers.
     used = sorted(r[0] for r in entered.select("_level").distinct().collect())
-    if not used:
-        used = [levels]
-    asked = left.withColumn("_ask", F.explode(F.array(*map(F.lit, used)))).withColumn(
-        "_at", cell_at(F.col(at), F.col("_ask"), cell, wider, levels)
+    named = {c: f"_dense_{i}" for i, c in enumerate(keys)}
+    asked = (
+        lookup_join(left, dense, named, [at, *spread], how="inner", **sizes)
+        .select(*left.columns)
+        .withColumn("_ask", F.explode(F.array(*map(F.lit, used))))
+        .withColumn("_at", cell_at(F.col(at), F.col("_ask"), cell, wider, levels))
     )
-    inside = F.col(at).between(first, last)
     pairs = {**keys, "_ask": "_level", "_at": "_cell"}
-    joined = lookup_join(asked, entered, pairs, [at, *spread], how="inner", residual=inside, **sizes)
-    return joined.drop("_ask", "_at", "_level", "_cell")
+    by_cell = lookup_join(asked, entered, pairs, [at, *spread], how="inner", residual=inside, **sizes)
+    others = ranges.join(*of_dense(own, "left_anti"))
+    by_key = lookup_join(left, others, keys, [at, *spread], how="inner", residual=inside, **sizes)
+    return by_cell.drop("_ask", "_at", "_level", "_cell").unionByName(by_key)
 
 
 def covering_totals(

@@ -56,3 +56,32 @@ def test_a_key_with_many_ranges_needs_work_in_proportion(spark):
 
 def test_buckets_follow_the_rows():
     assert [colocated.buckets_for(n) for n in (0, 600_000, 8_000_001, 216_000_000)] == [8, 8, 9, 216]
+
+
+def test_rows_of_keys_with_few_ranges_are_not_copied(spark):
+    """Ranges of three levels: readings were copied for each, and each range entered up to 33 times."""
+    ranges = spark.range(2_000).select(
+        F.concat(F.lit("k"), F.col("id")).alias("owner"), F.explode(F.array(*map(F.lit, (3, 800, 90_000)))).alias("days")
+    ).select("owner", F.lit(0).cast("long").alias("first"), (F.col("days").cast("long") * 86400).alias("last"))
+    points = spark.range(4_000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("p"), (F.col("id") * 86400).alias("at"))
+    found = joins.binned_join(points, ranges, {"k": "owner"}, "at", ("first", "last"), ["p"], max_rows=0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1  # the copies of the ranges for the salts
+    plain = points.join(ranges, (F.col("k") == F.col("owner")) & F.col("at").between(F.col("first"), F.col("last")))
+    assert rows(found, "p", "last") == rows(plain, "p", "last")
+
+
+def test_binned_join_of_keys_with_few_and_many_ranges(spark):
+    ranges = spark.createDataFrame(
+        [("a", i, 86400 * i, 86400 * (i + 1 + i % 5 * 40)) for i in range(300)]
+        + [("b", 1, 0, 1 << 40), ("b", 2, 86400 * 50, 86400 * 60), ("b", 3, 9, 8), (None, 4, 0, 99), ("a", 5, None, 99)],
+        "owner string, n long, first long, last long",
+    )
+    points = spark.createDataFrame(
+        [(i, k, 43200 * i) for i in range(120) for k in ("a", "b", "c", None)] + [(7, "a", None), (8, "b", 86400 * 50), (8, "b", 86400 * 50)],
+        "p long, k string, at long",
+    )
+    inside = (F.col("k") == F.col("owner")) & F.col("at").between(F.col("first"), F.col("last"))
+    wanted = rows(points.join(ranges, inside), "p", "k", "n")
+    for sizes in ({}, {"max_rows": 0}):
+        assert rows(joins.binned_join(points, ranges, {"k": "owner"}, "at", ("first", "last"), ["p"], **sizes), "p", "k", "n") == wanted
