@@ -72,17 +72,20 @@ def replay(spark: SparkSession, path: str, batch: str, mend: Callable[[Column],
 
 
 def _attempt(numbered: DataFrame, path: str, batch: str, attempt: int | None) -> DataFrame:
-    """Parse once, enter what an attempt has to enter (none: nothing), return what is usable."""
+    """Parse once, enter what an attempt has to enter (none: nothing), return what is usable. Texts
+    are written with the rows that are entered only."""
     kept = numbered.withColumn("_was", F.col("_was") if "_was" in numbered.columns else F.col(_TEXT))
-    parsed = stage_once(parse_meter_xml(kept.withColumn("_parse", F.col(_TEXT)), "_parse"), "quarantine-parsed")
+    parsed = parse_meter_xml(kept.withColumn("_parse", F.col(_TEXT)), "_parse")
     broken = F.col(_TEXT).isNull() | F.col(spec.CORRUPT_COLUMN).isNotNull()
     cause = F.when(broken, MALFORMED).when(F.trim("_MeterName").isNull() | (F.trim("_MeterName") == ""), UNNAMED)
-    judged = parsed.withColumn("_cause", cause)
+    # From the second attempt on, documents that parse now are entered too, as closed.
+    entering = F.col("_cause").isNotNull() | F.lit(attempt is not None and attempt > 1)
+    named = parsed.withColumn("_cause", cause).withColumn("_was", F.when(entering, F.col("_was")))
+    judged = stage_once(named.drop(_TEXT, spec.CORRUPT_COLUMN), "quarantine-parsed")
     if attempt is not None:
-        # From the second attempt on, documents that parse now are entered too, as closed.
-        entered = judged.filter(F.col("_cause").isNotNull() | F.lit(attempt > 1)).select(
+        entered = judged.filter(entering).select(
             F.col(_RECORD).alias("record"), F.col(_ORIGIN).alias("origin"), F.col("_was").alias("text"),
             F.col("_cause").alias("cause"), F.col("_cause").isNull().alias("closed"),
         )
         entered.write.mode("overwrite").parquet(f"{path}/batch={batch}/attempt={attempt}")
-    return judged.filter(F.col("_cause").isNull()).drop("_cause", "_was", _TEXT, spec.CORRUPT_COLUMN)
+    return judged.filter(F.col("_cause").isNull()).drop("_cause", "_was")

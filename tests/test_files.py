@@ -169,3 +169,19 @@ def test_bad_documents_are_kept_apart_and_leave_once_they_parse(spark):
     with pytest.raises(ValueError, match="has been replayed"):
         take()
     assert quarantine.replay(spark, path, "none").count() == 0
+
+
+def test_quarantine_writes_the_texts_of_entered_documents_only(spark, monkeypatch):
+    from meterloom.sources import quarantine
+
+    staged, stage_once = [], quarantine.stage_once
+    monkeypatch.setattr(quarantine, "stage_once", lambda df, label: staged.append(stage_once(df, label)) or staged[-1])
+    path, good = scratch_path(spark, "quarantine"), '<MeterData MeterName="m1"/>'
+    texts = spark.createDataFrame([(good,), ("<MeterData",), (None,), ("<MeterData/>",)], "xml string")
+    assert quarantine.take(texts, "xml", F.lit("f"), path, "b").count() == 1
+    assert quarantine.replay(spark, path, "b", lambda t: F.when(t == "<MeterData", F.lit(good)).otherwise(t)).count() == 1
+    first, second = ([c for row in df.collect() for c in row if c in (good, "<MeterData", "<MeterData/>")] for df in staged)
+    assert sorted(first) == ["<MeterData", "<MeterData/>"]
+    assert sorted(second) == ["<MeterData", "<MeterData/>"]
+    closed = quarantine.entries(spark, path, "b").filter("closed").collect()
+    assert [(r.text, r.cause, r.attempt) for r in closed] == [("<MeterData", None, 2)]
