@@ -2,7 +2,7 @@
 among all blocks, and its ids come back to be laid out by position.
 
 A task splits its documents into pre-tokens and keeps, for a block of documents, the list of
-distinct pre-tokens and each document as positions in that list. The positions are written to a
+distinct pre-tokens and its documents as positions in that list. The positions are written to a
 table bucketed by block and never move again. Only the distinct pre-tokens are shuffled, by a
 hash of the word, so that all blocks' copies of a word meet and are encoded once; the ids return
 to their blocks, meet the positions there and are laid out in order. Work and memory of a task
@@ -27,7 +27,7 @@ import pyarrow as pa
 import tiktoken
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.llm.common import bounded_batches, stage_bucketed
@@ -132,10 +132,11 @@ def _unpack_lists(blob: bytes, n: int) -> tuple[np.ndarray, bytes]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, parts: int) -> Iterator[pa.RecordBatch]:
-    """For each block, rows of three kinds: a document (id, number of pre-tokens, packed
-    positions); the distinct words of a part, in order; how positions count the words of all
-    parts (part -1: most frequent first, so that most positions are small). A block closes when
-    it holds ``BLOCK_CHARS`` characters or its partition ends, however the rows come in batches."""
+    """For each block: a row with its documents (ids, packed numbers of pre-tokens), a row with the
+    packed positions of all of them in turn, a row with how often each word stands there, and a row
+    with the distinct words of each part, in order. Positions count the words most frequent first,
+    so that most are small; the frequencies, which pack well, give that order back. A block closes
+    when it holds ``BLOCK_CHARS`` characters or its partition ends, however the rows come in batches."""
     split, ids, read, size = _Splitter(pattern), [], [], 0
     for batch in batches:
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -152,27 +153,34 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, parts: int) -> Iter
 
 def _block(split: _Splitter, ids: list[int | None], read: list, parts: int) -> pa.RecordBatch:
     docs = list(split.positions(read))
+    lengths, flat = np.array([len(d) for d in docs], np.int64), np.concatenate(docs)
     words = [w.encode() for w in split.words]
-    times = np.zeros(len(words), np.int64)
-    for d in docs:
-        times += np.bincount(d, minlength=len(words))
-    position = np.empty(len(words), np.int64)
-    position[np.argsort(-times, kind="stable")] = np.arange(len(words))
     part = [xxhash.xxh32_intdigest(w) % parts for w in words]
     order = sorted(range(len(words)), key=lambda i: (part[i], words[i]))
+    times = np.bincount(flat, minlength=len(words))[order]
+    position = np.empty(len(words), np.int64)
+    position[np.array(order, np.int64)[_by_times(times)]] = np.arange(len(words))
     groups = [(p, [words[i] for i in g]) for p, g in itertools.groupby(order, key=part.__getitem__)]
-    block = uuid.uuid4().int >> 65
-    rows = [(block, i, len(d), _pack(position[d]), None) for i, d in zip(ids, docs, strict=True)]
-    rows.append((block, None, len(words), _pack(position[order]), -1))
-    rows += [(block, None, len(g), _pack_lists(g), p) for p, g in groups]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
-        names=["block", "doc_id", "n", "packed", "part"],
-    )
+    rows = [
+        (_DOCS, len(docs), _pack(lengths), ids),
+        (_PLACES, len(flat), _pack(position[flat]), None),
+        (_TIMES, len(words), _pack(times), None),
+        *[(p, len(g), _pack_lists(g), None) for p, g in groups],
+    ]
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+    block = pa.array([uuid.uuid4().int >> 65] * len(rows), pa.int64())
+    return pa.RecordBatch.from_arrays([block, *columns], names=["block", "part", "n", "packed", "ids"])
+
 
+_BLOCKS = "block long, part int, n int, packed binary, ids array<long>"
+#: What stands in place of a part in the rows of a block that hold no words.
+_DOCS, _PLACES, _TIMES = -1, -2, -3
 
-_BLOCKS = "block long, doc_id long, n int, packed binary, part int"
+
+def _by_times(times: np.ndarray) -> np.ndarray:
+    """Words most frequent first."""
+    return np.argsort(-times, kind="stable")
 
 
 def _encode_part(table: pa.Table, pattern: str, ranks) -> pa.Table:
@@ -205,33 +213,17 @@ def _lay_out(docs: pa.Table, words: pa.Table) -> pa.Table:
         sizes.append(lengths // 4)
         ids.append(content)
     ids, size = np.frombuffer(b"".join(ids), np.int32), np.concatenate(sizes)
-    begin = np.cumsum(size) - size
-    start, length = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
-    ends, found, kept = [0], [], []
-    rows = list(zip(*[docs.column(c).to_pylist() for c in ("doc_id", "n", "part")], range(len(docs)), strict=True))
-    packed = docs.column("packed")
-    for _, n, part, i in rows:
-        if part is not None:
-            position = _unpack(packed[i].as_py(), n)
-            start[position], length[position] = begin, size
-    for doc, n, part, i in rows:
-        if part is None:
-            at = _unpack(packed[i].as_py(), n)
-            found.append(ids[_ranges(start[at], length[at])])
-            kept.append(doc)
-            ends.append(ends[-1] + len(found[-1]))
-    flat = np.concatenate(found) if found else np.empty(0, np.int32)
-    del found
-    laid = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(flat))
-    return pa.table({"doc_id": pa.array(kept, pa.int64()), "ids": laid})
-
+    held = {part: i for i, part in enumerate(docs.column("part").to_pylist())}
+    numbers = lambda part: _unpack(docs.column("packed")[held[part]].as_py(), docs.column("n")[held[part]].as_py())
+    order, at = _by_times(numbers(_TIMES)), numbers(_PLACES)
+    start, length = (np.cumsum(size) - size)[order][at], size[order][at]
+    ends = np.cumsum(np.append(0, length))[np.cumsum(np.append(0, numbers(_DOCS)))]
+    laid = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids[_ranges(start, length)]))
+    return pa.table({"doc_id": pa.array(docs.column("ids")[held[_DOCS]].as_py(), pa.int64()), "ids": laid})
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``ids``: the token ids of each whole text, one row per row of ``docs``.
 
-    Null and empty texts have no ids (an empty list). Repeated rows, repeated or null ids and
-    other columns change nothing: rows are laid out by place, not by id. No rows, no rows.
-    """
+def _coded_blocks(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str):
+    """Each block's rows cogrouped with the ids of its words, for ``_lay_out``."""
     spark = docs.sparkSession
     bounded_batches(spark)
     parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -248,8 +240,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         .groupBy("part")
         .applyInArrow(lambda table: _encode_part(table, pattern, shared), "block long, part int, n int, packed binary")
     )
-    placed = blocks.filter("part is null or part = -1")
-    return placed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_lay_out, "doc_id long, ids array<int>")
+    return blocks.filter("part < 0").groupBy("block").cogroup(coded.groupBy("block"))
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``ids``: the token ids of each whole text, one row per row of ``docs``.
+
+    Null and empty texts have no ids (an empty list). Repeated rows, repeated or null ids and
+    other columns change nothing: rows are laid out by place, not by id. No rows, no rows.
+    """
+    return _coded_blocks(docs, ranks, pattern, id_col, text_col).applyInArrow(_lay_out, "doc_id long, ids array<int>")
 
 
 def _decode(batches, shared, digest: bool, keep_ids: bool) -> Iterator[pa.RecordBatch]:
@@ -282,10 +282,30 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], digest: bool = False, ke
     With ``digest``, instead: ``doc_id``, ``n_tokens``, hex digests of the ids (decimal, joined
     by commas) and of the decoded bytes, taken in the same pass; ``ids`` too with ``keep_ids``.
     """
+    shared = _token_bytes(encoded.sparkSession, ranks)
+    schema = _digests(keep_ids) if digest else "doc_id long, ids array<int>, decoded binary"
+    return encoded.select("doc_id", "ids").mapInArrow(lambda b: _decode(b, shared, digest, keep_ids), schema)
+
+
+def _token_bytes(spark: SparkSession, ranks: dict[bytes, int]):
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    shared = encoded.sparkSession.sparkContext.broadcast(table)
-    kept = "ids array<int>, " if keep_ids else ""
-    schema = f"n_tokens long, {kept}ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded binary"
-    return encoded.select("doc_id", "ids").mapInArrow(lambda b: _decode(b, shared, digest, keep_ids), f"doc_id long, {schema}")
+    return spark.sparkContext.broadcast(table)
+
+
+def _digests(keep_ids: bool) -> str:
+    return f"doc_id long, n_tokens long, {'ids array<int>, ' if keep_ids else ''}ids_sha256 string, decoded_sha256 string"
+
+
+def round_trip(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``decode(encode(docs), digest=True)``. A block's ids are decoded where they are laid
+    out, so a task has one Python worker instead of two, and the ids do not pass between them."""
+    shared = _token_bytes(docs.sparkSession, ranks)
+
+    def laid_out(placed: pa.Table, words: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_decode(_lay_out(placed, words).to_batches(), shared, True, keep_ids))
+
+    return _coded_blocks(docs, ranks, pattern, id_col, text_col).applyInArrow(laid_out, _digests(keep_ids))

@@ -51,8 +51,7 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of their decoded bytes."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks, digest=True)
+    return bpe.round_trip(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
