@@ -44,7 +44,8 @@ COUNTED = 64
 REMEMBERED = 150_000
 #: Characters of text that a task holds as sets at once.
 SLICE = 6_000_000
-#: 64-bit words of a set's sketch.
+#: 64-bit words of a set's sketch, for up to 1,024 members; doubled with them, so that the sketches of
+#: long sets are not full and rule pairs out as well.
 SKETCH = 16
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -86,9 +87,11 @@ def _digest(members: np.ndarray) -> int:
 
 def _sketch(members: np.ndarray) -> list[int]:
     """A bit for every member, by its hash. A bit of one set that another lacks stands for a
-    member, at least, that the other lacks."""
-    bits = np.zeros(64 * SKETCH, np.uint8)
-    bits[(members >> np.uint64(40)) % np.uint64(64 * SKETCH)] = 1
+    member, at least, that the other lacks. Sizes are powers of two, so that a bit's place in a
+    small sketch is the rest of its place in a large one."""
+    size = max(64 * SKETCH, 1 << min((len(members) - 1).bit_length(), 24))
+    bits = np.zeros(size, np.uint8)
+    bits[(members >> np.uint64(40)) % np.uint64(size)] = 1
     return np.packbits(bits).view(np.int64).tolist()
 
 
@@ -371,12 +374,13 @@ def _list_pairs(lists: DataFrame, state: DataFrame, turn: int, percent: int) ->
 
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sketches do not rule the similarity out: a set has at most as many members
-    in common with the other one as are left after the bits that the other lacks."""
+    in common with the other one as are left after the bits that the other lacks. Of two sketches
+    the smaller one is laid against each part of the larger; only what it lacks is counted then."""
     of = lambda end: classes.select(F.col("cls").alias(end), F.col("n").alias(f"n{end}"), F.col("sketch").alias(f"s{end}"))
 
     def lacking(one: str, other: str):
-        words = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
-        return F.aggregate(words, F.lit(0), lambda total, n: total + n)
+        words = F.transform(one, lambda x, i: F.bit_count(x.bitwiseAND(F.bitwise_not(F.get(other, i % F.size(other))))))
+        return F.when(F.size(one) >= F.size(other), F.aggregate(words, F.lit(0), lambda total, n: total + n)).otherwise(0)
 
     common = F.least(F.col("na") - lacking("sa", "sb"), F.col("nb") - lacking("sb", "sa"))
     return pairs.join(of("a"), "a").join(of("b"), "b").filter((100 + percent) * common >= percent * (F.col("na") + F.col("nb"))).select("a", "b")

@@ -366,3 +366,16 @@ def test_bpe_blocks_are_small():
     made = next(bpe._blocks(iter([batch]), public_tokenizers.PATTERN, 4))
     packed = sum(len(b) for b, part in zip(made.column("packed").to_pylist(), made.column("part").to_pylist(), strict=True) if part is None or part < 0)
     assert packed < 65_000
+
+
+def test_sketches_follow_the_length_of_sets(spark):
+    """Unrelated long sets are ruled out before they are compared whole; linked sets never are, also
+    where their sketches differ in size."""
+    draw = np.random.default_rng(7)
+    fresh = lambda n: np.unique(draw.integers(0, 2**64, n, np.uint64))
+    base = fresh(1000)
+    sets = [fresh(4000), fresh(4000), fresh(3000), base, np.union1d(base, fresh(200)), fresh(40), fresh(900)]
+    rows = [(c, c, len(s), jaccard._sketch(s)) for c, s in enumerate(sets)]
+    classes = spark.createDataFrame(rows, "cls long, first_id long, n long, sketch array<long>")
+    pairs = spark.createDataFrame([(a, b) for a in range(7) for b in range(a + 1, 7)], "a long, b long")
+    assert {tuple(r) for r in jaccard._possible(pairs, classes, 75).collect()} == {(3, 4)}
