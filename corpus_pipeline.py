@@ -41,8 +41,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mixture, and the digest of their decoded bytes."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks, digest=True, keep_ids=True).select("doc_id", "n_tokens", "ids", "decoded_sha256")
+    done = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, keep_ids=True)
+    return done.select("doc_id", "n_tokens", "ids", "decoded_sha256")
 
 
 STAGES = [

@@ -15,6 +15,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from meterloom.llm import bpe, chat, disclosure, extraction, jaccard, mixing, secret_scan, toxicity
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
@@ -356,6 +357,18 @@ def test_bpe_frees_a_block_when_it_is_closed(monkeypatch):
         gc.enable()
 
 
+def test_bpe_round_trip_in_one_worker(spark, docs):
+    """The rows of encoding and then decoding, without a second Python worker in the tasks that lay ids out."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    apart = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks, digest=True, keep_ids=True)
+    both = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, keep_ids=True)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(both) == rows(apart) and both.columns == apart.columns
+    assert bpe.round_trip(spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string"), ranks, public_tokenizers.PATTERN).count() == 2
+    plan = corpus_pipeline.tokenize(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan
+
+
 def test_bpe_blocks_are_small():
     """Positions of a block's documents are packed together, and the words' order as frequencies. A
     frame for each document and a number for each word took 79,130 bytes here."""
