@@ -279,16 +279,17 @@ MERGE_LINE_KEYS = ["l_orderkey", "l_linenumber", "l_shipdate"]
 
 def merge_input(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
     """Rows to merge, with a month to partition by. Target: before 1999. Source: from
-    mid 1998 on, values up by a tenth. In both, part 0 of every 50 lacks its line number."""
+    mid 1998 on, values up by a tenth. In both, part 0 of every 50 lacks its line number. The
+    days are compared as times, so only rows that are kept have their text made."""
     day = F.col("l_shipdate")
-    rows = versions(spark, sf_dir)
+    rows = lineitem(spark, sf_dir)
     if side == "target":
-        rows = rows.filter(day < "1999-01-01")
+        rows = rows.filter(day < F.lit("1999-01-01").cast("timestamp_ntz"))
         value, user = F.col("l_extendedprice"), "loaded"
     else:
-        rows = rows.filter(day >= "1998-07-01")
+        rows = rows.filter(day >= F.lit("1998-07-01").cast("timestamp_ntz"))
         value, user = F.col("l_extendedprice") * 1.1, "incoming"
-    return rows.select(
+    return rows.withColumn("l_shipdate", day.cast("string")).select(
         "l_orderkey",
         F.when(F.col("l_partkey") % 50 != 0, F.col("l_linenumber")).alias("l_linenumber"),
         "l_shipdate",

@@ -105,3 +105,27 @@ def test_merge_reads_touched_partitions_only(spark):
     touched = sinks.read_target(spark, path, target, "ship_month")
     text = explained(filters.read_back(touched, "ship_month", ["1998-07"]))
     assert re.search(r"PartitionFilters: \[isnotnull\(ship_month#\d+\), \(ship_month#\d+ = 1998-07\)\]", text)
+
+
+def _lines(spark, folder):
+    """Lines on both sides of the days that part target and source, and without a day."""
+    days = ["1998-06-30 23:59:59", "1998-07-01 00:00:00", "1998-12-31 23:59:59.5", "1999-01-01 00:00:00", None]
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, day string"
+    df = spark.createDataFrame([(k, k + 1, k, 1, 10.0, "A", day) for k, day in enumerate(days)], line)
+    made = df.withColumn("l_shipdate", F.col("day").cast("timestamp_ntz")).drop("day")
+    made.coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("side, kept", [("target", [0, 1, 2]), ("source", [1, 2, 3])])
+def test_days_to_merge_are_compared_as_times(spark, tmp_path, side, kept):
+    rows = shapes.merge_input(spark, _lines(spark, tmp_path), side)
+    assert sorted(r[0] for r in rows.select("l_orderkey").collect()) == kept
+    assert re.search(r"PushedFilters: \[IsNotNull\(l_shipdate\), (LessThan|GreaterThanOrEqual)\(l_shipdate,", explained(rows))
+
+
+def test_a_replayed_source_is_not_copied_before_its_batches_are(spark, tmp_path, monkeypatch):
+    labels = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, label: labels.append(label) or scratch_path(s, label))
+    assert queries.QUERIES["upsert_replay"](spark, _lines(spark, tmp_path)).count() == 4
+    assert sorted(labels) == ["ledger", "target"]
