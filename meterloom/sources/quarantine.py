@@ -38,13 +38,16 @@ def open_entries(spark: SparkSession, path: str, batch: str) -> DataFrame:
     return of_batch.filter(F.lit(False) if newest is None else (F.col("attempt") == newest) & ~F.col("closed"))
 
 
-def take(texts: DataFrame, column: str, origin: Column, path: str, batch: str) -> DataFrame:
+def take(
+    texts: DataFrame, column: str, origin: Column, path: str, batch: str, layout: str = spec.METER_DOCUMENT
+) -> DataFrame:
     """The usable documents among ``texts``, with ``_record`` (a number for each) and ``_origin``;
     the others are entered in the quarantine at ``path`` as the batch's first attempt.
 
     ``column`` holds the text, ``origin`` says where it came from. A null text is malformed.
-    Repeated texts are documents of their own. Other columns are carried along. Run again, the
-    batch is taken anew: a batch with later attempts is refused.
+    Repeated texts are documents of their own. Other columns are carried along. ``layout`` is that of
+    ``parse_meter_xml``, with the meter's name in it. Run again, the batch is taken anew: a batch
+    with later attempts is refused.
     """
     spark = texts.sparkSession
     later = entries(spark, path, batch).filter("attempt > 1")
@@ -56,26 +59,32 @@ def take(texts: DataFrame, column: str, origin: Column, path: str, batch: str) -
         origin.cast("string").alias(_ORIGIN),
         F.monotonically_increasing_id().alias(_RECORD),
     )
-    return _attempt(numbered, path, batch, 1)
+    return _attempt(numbered, path, batch, 1, layout)
 
 
-def replay(spark: SparkSession, path: str, batch: str, mend: Callable[[Column], Column] | None = None) -> DataFrame:
+def replay(
+    spark: SparkSession,
+    path: str,
+    batch: str,
+    mend: Callable[[Column], Column] | None = None,
+    layout: str = spec.METER_DOCUMENT,
+) -> DataFrame:
     """The documents of a batch that are usable now, of those still open. ``mend`` turns a text into
     the one to parse; the entry of a document that stays unusable keeps its text as it was."""
     still = open_entries(spark, path, batch)
     attempt = (still.agg(F.max("attempt")).first()[0] or 0) + 1
     if attempt == 1:
-        return _attempt(still.select(F.col("text").alias(_TEXT), F.col("origin").alias(_ORIGIN), F.col("record").alias(_RECORD)), path, batch, None)
+        return _attempt(still.select(F.col("text").alias(_TEXT), F.col("origin").alias(_ORIGIN), F.col("record").alias(_RECORD)), path, batch, None, layout)
     text = F.col("text") if mend is None else mend(F.col("text"))
     again = still.select(text.alias(_TEXT), F.col("origin").alias(_ORIGIN), F.col("record").alias(_RECORD), F.col("text").alias("_was"))
-    return _attempt(again, path, batch, attempt)
+    return _attempt(again, path, batch, attempt, layout)
 
 
-def _attempt(numbered: DataFrame, path: str, batch: str, attempt: int | None) -> DataFrame:
+def _attempt(numbered: DataFrame, path: str, batch: str, attempt: int | None, layout: str) -> DataFrame:
     """Parse once, enter what an attempt has to enter (none: nothing), return what is usable. Texts
     are written with the rows that are entered only."""
     kept = numbered.withColumn("_was", F.col("_was") if "_was" in numbered.columns else F.col(_TEXT))
-    parsed = parse_meter_xml(kept.withColumn("_parse", F.col(_TEXT)), "_parse")
+    parsed = parse_meter_xml(kept.withColumn("_parse", F.col(_TEXT)), "_parse", layout=layout)
     broken = F.col(_TEXT).isNull() | F.col(spec.CORRUPT_COLUMN).isNotNull()
     cause = F.when(broken, MALFORMED).when(F.trim("_MeterName").isNull() | (F.trim("_MeterName") == ""), UNNAMED)
     # From the second attempt on, documents that parse now are entered too, as closed.

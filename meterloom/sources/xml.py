@@ -30,9 +30,9 @@ def _options(mode: str, timezone: str | None) -> dict[str, str]:
     return options
 
 
-def document_schema(mode: str = "PERMISSIVE") -> str:
+def document_schema(mode: str = "PERMISSIVE", layout: str = spec.METER_DOCUMENT) -> str:
     corrupt = f", {spec.CORRUPT_COLUMN} STRING" if mode.upper() == "PERMISSIVE" else ""
-    return spec.METER_DOCUMENT + corrupt
+    return layout + corrupt
 
 
 def read_meter_xml(
@@ -72,9 +72,13 @@ def read_meter_xml(
     return df if spread is None else df.repartition(spread)
 
 
-def parse_meter_xml(df: DataFrame, column: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """Meter documents parsed from a text column; other columns are carried along."""
-    parsed = F.from_xml(F.col(column), document_schema(mode), _options(mode, None))
+def parse_meter_xml(
+    df: DataFrame, column: str, mode: str = "PERMISSIVE", layout: str = spec.METER_DOCUMENT
+) -> DataFrame:
+    """Meter documents parsed from a text column; other columns are carried along. Every text is
+    read whole, and a fault anywhere in it is found, whatever part of a document's ``layout`` is
+    asked for (see ``flatten.layout``)."""
+    parsed = F.from_xml(F.col(column), document_schema(mode, layout), _options(mode, None))
     carried = [c for c in df.columns if c != column]
     # Unpacked through a generator: as a projection the optimizer would copy the parser into
     # every later expression that uses one of its fields.
